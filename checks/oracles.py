@@ -275,6 +275,10 @@ def reassembled(source: str) -> str:
       from ({source}) d left join kept k on k.id = d.id"""
 
 
+CONLL = """
+    rows as (select id, par_pos, sent_pos, tok_pos,
+      concat_ws(chr(9), tok_pos + 1, tok, lemma, pos, pos, '_', '_', '_', '_', '_') as line from ann where par_pos >= 0)"""
+
 ALL_VERDICTS = f"{keys_of(DOCS)}, {VERDICTS}"
 BENCH_BLOOM = f"""
     {keys_of(DOCS)}, {VERDICTS},
@@ -350,8 +354,15 @@ ORACLES: dict[str, str] = {
     "vertical_lines": f"with {ANNOTATED_PAGES}, {LINES} select id as doc_id, line_pos, line from lines",
     "vertical_document": f"""with {ANNOTATED_PAGES}, {LINES} select id as doc_id,
         string_agg(line || {NL}, '' order by line_pos) as vertical from lines group by id""",
-    "conll_rows": f"""with {ANNOTATED_PAGES} select id as doc_id, par_pos, sent_pos, tok_pos,
-        concat_ws(chr(9), tok_pos + 1, tok, lemma, pos, pos, '_', '_', '_', '_', '_') as line from ann where par_pos >= 0""",
+    "conll_rows": f"with {ANNOTATED_PAGES}, {CONLL} select id as doc_id, par_pos, sent_pos, tok_pos, line from rows",
+    "conll_document": f"""with {ANNOTATED_PAGES}, {CONLL},
+        _sn as (select id, par_pos, sent_pos, string_agg(line || {NL}, '' order by tok_pos) || {NL} as s
+                from rows group by all)
+        select id as doc_id, string_agg(s, '' order by par_pos, sent_pos) as conll from _sn group by id""",
+    "sink_conll": f"""with {ANNOTATED_PAGES}, {CONLL},
+        _w as (select line from rows union all select '' from (select distinct id, par_pos, sent_pos from rows)
+               union all select '' from (select distinct id from rows))
+        select line, count(*) as n from _w group by line""",
     "sink_vertical": f"""with {ANNOTATED_PAGES}, {LINES},
         _w as (select line from lines union all select '' from (select distinct id from lines))
         select line, count(*) as n from _w group by line""",

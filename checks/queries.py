@@ -334,12 +334,26 @@ def vertical_document(spark, sf):
     return corpus.vertical_corpus(page_articles(spark, sf), lexicon(spark, sf))
 
 
+@query
+def conll_document(spark, sf):
+    return corpus.conll_corpus(page_articles(spark, sf), lexicon(spark, sf))
+
+
 @query
 def conll_rows(spark, sf):
     toks = annotated_pages(spark, sf).where(F.col("par_pos") >= 0)
     return annotate.conll_rows(toks)
 
 
+@query
+def sink_conll(spark, sf):
+    """Lines read back from the written CoNLL files, with their number."""
+    path = new_path(spark, "conll")
+    sinks.write_conll(conll_document(spark, sf), path)
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 @query
 def sink_vertical(spark, sf):
     """Lines read back from the written files, with their number."""

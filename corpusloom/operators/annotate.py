@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.operators.lookup import BROADCAST_BYTES, SALTS, fits_broadcast
+from corpusloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, salted_lookup
 from corpusloom.operators.tokens import UNKNOWN, explode_tokens
 from corpusloom.staging import stage
 
@@ -40,29 +40,45 @@ def suffix_table(lexicon: DataFrame) -> DataFrame:
     return counts.groupBy("suffix").agg(best.alias("best")).select("suffix", "best.pos")
 
 
+def _endings(rows: DataFrame, suffixes: DataFrame, form: str, small: bool) -> DataFrame:
+    """Add ``_pos4`` to ``_pos1``: tags by ending, for rows without ``_pos``."""
+    for n in range(LONGEST_SUFFIX, 0, -1):
+        lower = F.lower(form)
+        wanted = F.length(lower) > n
+        if small:
+            # A null key is not looked up at all.
+            tags = ["_pos", *[f"_pos{m}" for m in range(LONGEST_SUFFIX, n, -1)]]
+            wanted = wanted & F.coalesce(*tags).isNull()
+        key = f"_end{n}"
+        rows = rows.withColumn(key, F.when(wanted, F.right(lower, F.lit(n))))
+        table = suffixes.select(F.col("suffix").alias(key), F.col("pos").alias(f"_pos{n}"))
+        rows = rows.join(F.broadcast(table), key, "left") if small else salted_lookup(rows, table, [key])
+    return rows
+
+
 def _resolve(
-    words: DataFrame, lexicon: DataFrame, suffixes: DataFrame, form: str, small: bool
+    words: DataFrame, lexicon: DataFrame, suffixes: DataFrame, form: str, small: bool, small_endings: bool
 ) -> DataFrame:
     """Add ``pos, lemma`` by form, lower-cased form, longest known ending."""
     side = F.broadcast if small else (lambda table: table)
-
-    def attach(rows: DataFrame, table: DataFrame, key: Column, name: str, columns: list[str]):
-        renamed = table.select(
-            F.col(table.columns[0]).alias(f"_k{name}"), *[F.col(c).alias(f"_{c}{name}") for c in columns]
-        )
-        return rows.join(side(renamed), key == F.col(f"_k{name}"), "left")
-
-    col, lower = F.col(form), F.lower(form)
-    rows = attach(words, lexicon, col, "e", ["pos", "lemma"])
-    rows = attach(rows, lexicon, lower, "l", ["pos", "lemma"])
-    for n in range(LONGEST_SUFFIX, 0, -1):
-        key = F.when(F.length(lower) > n, F.right(lower, F.lit(n)))
-        rows = attach(rows, suffixes, key, f"s{n}", ["pos"])
-    tags = ["_pose", "_posl", *[f"_poss{n}" for n in range(LONGEST_SUFFIX, 0, -1)]]
+    exact = lexicon.select(
+        F.col("form").alias(form), F.col("pos").alias("_pos0"), F.col("lemma").alias("_lemma0")
+    )
+    rows = words.join(side(exact), form, "left")
+    lower = F.lower(form)
+    if small:
+        lower = F.when(F.col("_pos0").isNull(), lower)
+    folded = lexicon.select(
+        F.col("form").alias("_low"), F.col("pos").alias("_posl"), F.col("lemma").alias("_lemmal")
+    )
+    rows = rows.withColumn("_low", lower).join(side(folded), "_low", "left")
+    rows = rows.withColumn("_pos", F.coalesce("_pos0", "_posl"))
+    rows = _endings(rows, suffixes, form, small_endings)
+    tags = ["_pos", *[f"_pos{n}" for n in range(LONGEST_SUFFIX, 0, -1)]]
     return rows.select(
         *words.columns,
         F.coalesce(*tags, F.lit(UNKNOWN_POS)).alias("pos"),
-        F.coalesce("_lemmae", "_lemmal", col).alias("lemma"),
+        F.coalesce("_lemma0", "_lemmal", form).alias("lemma"),
     )
 
 
@@ -71,19 +87,17 @@ def annotate_tokens(
 ) -> DataFrame:
     """Add ``pos, lemma`` from a lexicon; ``lexicon`` should be a stored table.
 
-    A lexicon of checked size is broadcast and tokens stay where they are.  A
-    larger one is looked up once per distinct form, and the tokens are joined
-    with the result on a salted form, which splits very frequent words.
+    A lexicon of checked size is broadcast, tokens stay where they are and most
+    need one probe.  A larger one is looked up once per distinct form, and the
+    tokens are joined with the result on a salted form, which splits very
+    frequent words.
     """
     suffixes = stage(suffix_table(lexicon), "suffixes")
-    if fits_broadcast(lexicon, LEXICON_ROW_BYTES, limit) and fits_broadcast(
-        suffixes, LEXICON_ROW_BYTES, limit
-    ):
-        return _resolve(tokens, lexicon, suffixes, form, small=True)
-    forms = _resolve(tokens.select(form).distinct(), lexicon, suffixes, form, small=False)
-    copies = forms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = tokens.withColumn("_salt", F.pmod(F.xxhash64(*tokens.columns), F.lit(SALTS)).cast("int"))
-    return salted.join(copies, [form, "_salt"], "left").select(*tokens.columns, "pos", "lemma")
+    small_endings = fits_broadcast(suffixes, LEXICON_ROW_BYTES, limit)
+    if fits_broadcast(lexicon, LEXICON_ROW_BYTES, limit):
+        return _resolve(tokens, lexicon, suffixes, form, True, small_endings)
+    forms = _resolve(tokens.select(form).distinct(), lexicon, suffixes, form, False, small_endings)
+    return salted_lookup(tokens, forms, [form]).select(*tokens.columns, "pos", "lemma")
 
 
 def annotate_with(
@@ -209,6 +223,19 @@ def vertical_document(lines: DataFrame, id: str = "doc_id") -> DataFrame:
     return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
 
 
+def vertical_text(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
+    """``id, vertical`` straight from annotated tokens.
+
+    The same text as :func:`vertical_document` over :func:`vertical_lines`
+    without numbering the lines.  When ``tokens`` comes from documents that
+    were partitioned by ``id``, nothing is shuffled.
+    """
+    line = F.concat(_line(), F.when(_ends_block(), "\n").otherwise(""))
+    ordered = F.array_sort(F.collect_list(F.struct(*POSITION, line.alias("line"))))
+    grouped = tokens.groupBy(id).agg(ordered.alias("lines"))
+    return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
+
+
 def conll_rows(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
     """``id, par_pos, sent_pos, tok_pos, line``: ten CoNLL columns per token.
 

@@ -3,7 +3,7 @@
 Training is one aggregation.  Scoring joins every gram of the whole text with
 the profile and sums: grams never leave their task when the profile is small
 enough to broadcast, because the sum per document is combined before the only
-exchange.  Log-probabilities are kept in millionths as whole numbers, so sums
+exchange; with a larger profile they are counted per document first.  Log-probabilities are kept in millionths as whole numbers, so sums
 do not depend on the order of addition.
 """
 
@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.operators.lookup import BROADCAST_BYTES, lookup
+from corpusloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, salted_lookup
+from corpusloom.staging import stage
 
 # Fixed values.
 NOT_LETTERS = r"[^\p{L}\p{M}]+"
@@ -39,11 +40,13 @@ def langid_fit(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     A language's row with the empty gram holds the value of a gram it never
     showed.  Rows without a language are ignored.
     """
-    found = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), grams(F.col(text)).alias("g"))
-    counts = (
-        found.select("lang", F.explode_outer("g").alias("gram"))
-        .where(F.col("gram").isNotNull())
-        .groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    found = df.where(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.explode_outer(grams(F.col(text))).alias("gram")
+    )
+    # Read four times below, and no larger than the vocabulary: stored once.
+    counts = stage(
+        found.where(F.col("gram").isNotNull()).groupBy("lang", "gram").agg(F.count("*").alias("n")),
+        "gram-counts",
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = counts.select(F.count_distinct("gram").alias("v"))
@@ -85,11 +88,15 @@ def langid_predict(
     """
     langs, unseen, wide = _wide(profile)
     found = df.select(id, F.explode_outer(grams(F.col(text))).alias("gram"))
-    scored = lookup(found, wide, ["gram"], row_bytes=64 + 8 * len(langs), limit=limit)
-    sums = scored.groupBy(id).agg(
-        F.count("gram").alias("n"),
-        *[F.sum(F.coalesce(f"l{i}", F.lit(unseen[lang]))).alias(f"l{i}") for i, lang in enumerate(langs)],
-    )
+    unknown = [F.coalesce(f"l{i}", F.lit(unseen[lang])) for i, lang in enumerate(langs)]
+    if fits_broadcast(wide, 64 + 8 * len(langs), limit):
+        scored = found.join(F.broadcast(wide), "gram", "left")
+        n, values = F.count("gram"), unknown
+    else:
+        found = found.groupBy(id, "gram").agg(F.count("gram").alias("times"))
+        scored = salted_lookup(found, wide, ["gram"])
+        n, values = F.sum("times"), [F.col("times") * value for value in unknown]
+    sums = scored.groupBy(id).agg(n.alias("n"), *[F.sum(v).alias(f"l{i}") for i, v in enumerate(values)])
     best = F.array_max(F.array(*[
         F.struct(F.col(f"l{i}").alias("micro"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang"))
         for i, lang in enumerate(langs)

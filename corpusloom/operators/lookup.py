@@ -23,17 +23,25 @@ def lookup(
     on: list[str],
     row_bytes: int,
     limit: int = BROADCAST_BYTES,
-    how: str = "left",
 ) -> DataFrame:
-    """Equi-join of ``facts`` with a lookup table.
+    """Left equi-join of ``facts`` with a stored lookup table.
 
     A small table is broadcast, so ``facts`` is not shuffled.  A larger one is
-    copied ``SALTS`` times and joined on the key plus a salt, which splits even
-    a key that a third of all facts share over ``SALTS`` tasks.
+    joined on a salted key.
     """
     if fits_broadcast(table, row_bytes, limit):
-        return facts.join(F.broadcast(table), on, how)
+        return facts.join(F.broadcast(table), on, "left")
+    return salted_lookup(facts, table, on)
+
+
+def salted_lookup(facts: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Left equi-join that splits every key over ``SALTS`` tasks.
+
+    The table is copied once per salt; a key that a third of all facts share
+    is then the work of ``SALTS`` tasks, and run-time skew handling can still
+    split each of those.
+    """
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     copies = table.withColumn("_salt", F.explode(salts))
-    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], "left").drop("_salt")

@@ -51,17 +51,23 @@ def clean_corpus(
     return keep_paragraphs(kept, firsts)
 
 
-def annotated(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Marked-up tokens with ``pos`` and ``lemma``."""
-    return annotate.annotate_tokens(annotate.token_markup(docs), lexicon)
+def annotated(docs: DataFrame, lexicon: DataFrame, together: bool = False) -> DataFrame:
+    """Marked-up tokens with ``pos`` and ``lemma``.
+
+    ``together`` places documents by id before they are cut into tokens, for a
+    caller that puts them together again: raw text is shuffled then, not the
+    many times larger annotated tokens.
+    """
+    placed = docs.repartition("doc_id") if together else docs
+    return annotate.annotate_tokens(annotate.token_markup(placed), lexicon)
 
 
 def vertical_corpus(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``doc_id, vertical``; a document left with neither title nor text has none."""
-    return annotate.vertical_document(annotate.vertical_lines(annotated(docs, lexicon)))
+    return annotate.vertical_text(annotated(docs, lexicon, together=True))
 
 
 def conll_corpus(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``doc_id, conll`` of the paragraphs, without titles."""
-    toks = annotated(docs, lexicon).where(F.col("par_pos") >= 0)
+    toks = annotated(docs, lexicon, together=True).where(F.col("par_pos") >= 0)
     return annotate.conll_document(annotate.conll_rows(toks))
