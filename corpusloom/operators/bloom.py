@@ -96,7 +96,10 @@ def bloom_build(
         n = keys.count()
     spec = bloom_spec(n, p, fast)
     bits = F.array(*[_bit(F.col("key"), i, spec) for i in range(spec.k)])
-    rows = keys.select(_block(F.col("key"), spec).alias("bucket"), F.explode(bits).alias("bit"))
+    # Keys are brought to their block before any bitmap is made: a task before
+    # the exchange would hold a whole bitmap for the few keys of each block.
+    placed = keys.select(_block(F.col("key"), spec).alias("bucket"), bits.alias("bits"))
+    rows = placed.repartition("bucket").select("bucket", F.explode("bits").alias("bit"))
     built = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
     return built.select(
         "bucket", "bitmap",

@@ -1,7 +1,8 @@
 """The whole way from page records to an annotated corpus.
 
-Text is shuffled once, to bring documents together with the positions of their
-first-seen paragraphs; everything before and after runs where the text is.
+Text is shuffled once, for the language filter, and stored by document; the
+positions of first-seen paragraphs are then brought to it.  Everything else
+moves keys, positions and sums only.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.operators import annotate, html, langid
 from corpusloom.operators.dedup import first_copies, keep_paragraphs, reassemble
 from corpusloom.operators.tokens import paragraph_hash
-from corpusloom.staging import stage
+from corpusloom.staging import stage, stage_by
 
 
 def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -43,10 +44,11 @@ def clean_corpus(
     """``doc_id, uri, title, text, n_par, n_dup`` from page records.
 
     Articles and the documents in allowed languages are stored, because each is
-    read twice and costs more to make than to read.
+    read twice and costs more to make than to read; the latter by document, so
+    that re-assembly does not shuffle them again.
     """
     found = stage(articles(pages, content_type), "articles")
-    kept = stage(in_languages(found, profile, allowed), "language")
+    kept = stage_by(in_languages(found, profile, allowed), "language", "doc_id")
     firsts = first_copies(paragraph_hash(kept))
     return keep_paragraphs(kept, firsts)
 

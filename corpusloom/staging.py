@@ -36,9 +36,29 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the stored table.
+
+    Each call takes a fresh folder unless ``path`` names one to overwrite.
+    """
     spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    path = path or new_path(spark, label)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Like :func:`stage`, in buckets of ``key``.
+
+    Joins and groupings on ``key`` then read the table without shuffling it.
+    The number of buckets is that of shuffle partitions, so ``df`` is written
+    as it lies when it comes out of a join on ``key``.  The table is entered in
+    the session catalog under a name of its own.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = f"corpusloom_{path.rsplit('/', 1)[1].replace('-', '_')}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, key).sortBy(key).option("compression", "zstd")
+    writer.format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)

@@ -45,21 +45,40 @@ def _open_seen(spark: SparkSession, path: str) -> None:
 
 
 def _new_firsts(batch: DataFrame, batch_id: int, seen: str, id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Keys of the batch and its first copies not seen in earlier batches."""
-    spark = batch.sparkSession
-    pars = stage(paragraph_hash(batch, id, text), "batch-keys")
-    firsts = stage(first_copies(pars, id).withColumn("k", F.unhex("key")), "batch-firsts")
+    """Keys of the batch and its first copies not seen in earlier batches.
+
+    The tables of a batch are stored in the place of those of the batch before.
+    """
+    spark, work = batch.sparkSession, f"{seen}-work"
+    pars = stage(paragraph_hash(batch, id, text), "keys", f"{work}/keys")
+    firsts = first_copies(pars, id).withColumn("k", F.unhex("key"))
+    firsts = stage(firsts, "firsts", f"{work}/firsts")
     # The seen table only grows: cut it to keys of this batch first.  It is the
     # probe side of that join and need not be shuffled when the batch is small.
     known = _before(seen, batch_id, spark, SEEN_SCHEMA).select("k")
     hits = known.join(firsts.select("k"), "k", "left_semi")
-    return pars, stage(firsts.join(hits, "k", "left_anti"), "batch-new")
+    return pars, stage(firsts.join(hits, "k", "left_anti"), "new", f"{work}/new")
 
 
 def _store_seen(new: DataFrame, seen: str, batch_id: int) -> None:
     new.select("k").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
 
 
+def compact_seen(spark: SparkSession, seen: str, into: str) -> None:
+    """Copy a seen table to a new path with two parts instead of one per batch.
+
+    The last batch stays a part of its own, because it may be replayed.  Run it
+    between runs of the stream and start the next one with the new path.
+    """
+    stored = spark.read.schema(SEEN_SCHEMA).parquet(seen)
+    last = stored.agg(F.max("batch_id")).first()[0]
+    _open_seen(spark, into)
+    if last is None:
+        return
+    for part, rows in ((last - 1, F.col("batch_id") < last), (last, F.col("batch_id") == last)):
+        _store_seen(stored.where(rows), into, part)
+
+
 def dedup_batch(batch: DataFrame, batch_id: int, seen: str, out: str, id: str, text: str) -> None:
     """Verdicts of one micro-batch: output first, then the seen keys."""
     pars, new = _new_firsts(batch, batch_id, seen, id, text)

@@ -1,7 +1,7 @@
 from corpusloom.operators import langid
 from corpusloom.plans import corpus
 from corpusloom.sources import tables, warc
-from corpusloom.staging import stage
+from corpusloom.staging import stage, stage_by
 from tests.conftest import rows
 from tests.test_warc import record, write
 
@@ -32,3 +32,17 @@ def test_from_archive_to_corpus(spark, tmp_path):
         ("1", "http://x/1", "One", 2, 0), ("2", "http://x/2", "Two", 2, 1),
     ]
     assert got[0][3] == f"{english} one\n{footer}" and got[1][3] == f"{english} two"
+
+
+def test_stored_documents_are_not_shuffled_again(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = spark.range(100).selectExpr("id as doc_id", "cast(id as string) as text")
+        docs = stage_by(made.repartition("doc_id"), "docs", "doc_id")
+        df = corpus.deduplicate(docs)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # One exchange by key, one of positions by document; none of the text.
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert df.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

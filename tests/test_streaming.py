@@ -46,6 +46,18 @@ def test_replayed_batches_change_nothing(spark, batches, folders):
     assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
 
 
+def test_compacted_table_goes_on(spark, batches, folders, tmp_path):
+    seen, out = folders
+    compact = str(tmp_path / "compact")
+    for n in (0, 1, 2):
+        streaming.dedup_batch(batches[n], n, seen, out, "doc_id", "text")
+    streaming.compact_seen(spark, seen, compact)
+    for n in (2, 3):
+        streaming.dedup_batch(batches[n], n, compact, out, "doc_id", "text")
+    got = spark.read.schema(VERDICTS).parquet(out).drop("batch_id")
+    assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
+
+
 def test_documents(spark, batches, folders):
     for n, batch in enumerate(batches):
         streaming.documents_batch(batch, n, *folders, "doc_id", "text")
