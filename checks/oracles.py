@@ -8,7 +8,7 @@ first copies from window functions, Bloom bitmaps from byte sums.
 from __future__ import annotations
 
 from checks.queries import MEDIA_TYPE
-from corpusloom.functions.html import BLOCK_TAGS, ENTITIES, SILENT, TITLE_PATTERN
+from corpusloom.functions.html import BLOCK_TAGS, ENTITIES, SILENT_PATTERNS, TITLE_PATTERN
 from corpusloom.functions.text import (
     ABBREVIATIONS, BLANK, CONTROL, SENTENCE_PATTERN, VISIBLE_PATTERN, WORD, WORD_PATTERN,
 )
@@ -79,8 +79,7 @@ def keys_of(source: str) -> str:
 def visible_text() -> str:
     """SQL expression over ``html``: marked text, one block per line."""
     col = f"translate(html, chr(1) || chr(2) || {NL}, '   ')"
-    steps = [(r"(?s)<!--.*?-->", "''")]
-    steps += [(rf"(?is)<{n}(?:\s[^>]*)?>.*?</{n}\s*>", "''") for n in SILENT]
+    steps = [(pattern, "''") for pattern in SILENT_PATTERNS]
     steps += [
         (r"(?i)<a(?:\s[^>]*)?>", "chr(1)"), (r"(?i)</a\s*>", "chr(2)"),
         (rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^>]*)?>", NL), (r"<[/!?a-zA-Z][^>]*>", "''"),

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Elements without readable text, block-level elements, entities.
-SILENT = ("script", "style", "head", "noscript", "template", "svg")
+# Unclosed comments, scripts and styles run to the end of the page.
+SILENT_PATTERNS = (
+    r"(?s)<!--.*?(?:-->|\z)",
+    r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)",
+    r"(?is)<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)",
+    r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>",
+    r"(?is)<noscript(?:\s[^>]*)?>.*?</noscript\s*>",
+    r"(?is)<template(?:\s[^>]*)?>.*?</template\s*>",
+    r"(?is)<svg(?:\s[^>]*)?>.*?</svg\s*>",
+)
 BLOCK_TAGS = (
     "address|article|aside|blockquote|body|br|button|caption|center|dd|details|dialog|dir|div|dl"
     "|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|legend|li|main"
@@ -26,6 +35,8 @@ OPEN = "\u0001"
 CLOSE = "\u0002"
 SPACES = r"[ \t\x0B\f\r\x{00A0}]+"
 TITLE_PATTERN = r"(?is)<head>.*?<title>(.*?)</title>.*?</head>"
+# The same without going back, which could not help: linear in the page.
+TITLE_ATOMIC = r"(?is)<head>(?>.*?<title>)(?>(.*?)</title>)(?>.*?</head>)"
 
 
 def _sub(col: Column, pattern: str, replacement: str) -> Column:
@@ -46,8 +57,8 @@ def is_html(payload: Column, content_type: Column | None) -> Column:
 
 def title_of(html: Column) -> Column:
     """Title text, ``Unknown`` where there is none; entities stay as written."""
-    found = F.regexp_substr(html, F.lit(TITLE_PATTERN))
-    clean = F.translate(F.regexp_extract(found, TITLE_PATTERN, 1), '"\n', "'")
+    found = F.regexp_substr(html, F.lit(TITLE_ATOMIC))
+    clean = F.translate(F.regexp_extract(found, TITLE_ATOMIC, 1), '"\n', "'")
     return F.coalesce(clean, F.lit("Unknown"))
 
 
@@ -95,9 +106,8 @@ def _close_links_per_block(col: Column) -> Column:
 def marked_text(html: Column) -> Column:
     """Visible text with one block per line and links between two marks."""
     col = F.translate(html, OPEN + CLOSE + "\n", "  " + " ")
-    col = _sub(col, r"(?s)<!--.*?-->", "")
-    for name in SILENT:
-        col = _sub(col, rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>", "")
+    for pattern in SILENT_PATTERNS:
+        col = _sub(col, pattern, "")
     col = _sub(col, r"(?i)<a(?:\s[^>]*)?>", OPEN)
     col = _sub(col, r"(?i)</a\s*>", CLOSE)
     col = _sub(col, rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^>]*)?>", "\n")

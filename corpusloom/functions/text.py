@@ -25,11 +25,12 @@ CONTROL = r"\x00-\x08\x0E-\x1F\x7F-\x9F"
 WORD = r"\p{L}\p{M}\p{N}"
 SENTENCE = "\u0001"
 GLUE = "\u0002"
-EDGE = "\u0003"
 ABBREVIATIONS = "Dr|Mr|Mrs|Ms|Prof|St|vs|etc"
 CLOSERS = r"""["'”’)\]]*"""
-WORD_PATTERN = rf"[{WORD}]+(?:['’.\-][{WORD}]+)*"
-SENTENCE_PATTERN = rf"""([.!?…]{CLOSERS})[{BLANK}]+([\p{{Lu}}\p{{N}}"'“‘(\[])"""
+OPENERS = r"""[\p{Lu}\p{N}"'“‘(\[]"""
+JOINERS = r"['’.\-]"
+WORD_PATTERN = rf"[{WORD}]+(?:{JOINERS}[{WORD}]+)*"
+SENTENCE_PATTERN = rf"([.!?…]{CLOSERS})[{BLANK}]+({OPENERS})"
 VISIBLE_PATTERN = rf"[^{BLANK}\n{CONTROL}]"
 
 
@@ -41,28 +42,43 @@ def _swap(col: Column, old: str, new: str) -> Column:
     return F.replace(col, F.lit(old), F.lit(new))
 
 
+def _without_controls(text: Column) -> Column:
+    """Control characters belong to no token, but they end one.
+
+    Next to a blank they vanish, elsewhere they are a place where two tokens
+    touch.  Few texts hold any, and finding that out is cheap.
+    """
+    slow = _sub(text, f"[{CONTROL}]+", GLUE)
+    slow = _sub(slow, rf"{GLUE}?[{BLANK}][{BLANK}{GLUE}]*", " ")
+    return F.when(text.rlike(r"[\p{Cc}&&[^\t\n\x0B\f\r]]"), slow).otherwise(text)
+
+
 def _mark_sentences(col: Column) -> Column:
-    cut = _sub(col, SENTENCE_PATTERN, "$1" + SENTENCE + "$2")
-    # Take back cuts after an abbreviation.  The pattern starts with the full
-    # stop, so the look-behind is tried at full stops only.
-    after = rf"(\.(?<=(?:^|[^{WORD}])(?:{ABBREVIATIONS})\.){CLOSERS}){SENTENCE}"
-    return _sub(cut, after, "$1 ")
+    """Cut after a full stop and its closers, unless it ends an abbreviation."""
+    guard = rf"(?<!(?:^|[^{WORD}])(?:{ABBREVIATIONS})\.)"
+    return _sub(col, rf"([.!?…]{guard}{CLOSERS}) (?={OPENERS})", "$1" + SENTENCE)
 
 
 def segmented(text: Column, sentences: bool = True) -> Column:
-    """The segmented form of ``text``; empty when it holds no token."""
-    # Control characters are no part of any token, but they end one.
-    col = _sub(F.coalesce(text, F.lit("")), f"[{CONTROL}]+", EDGE)
+    """The segmented form of ``text``; empty when it holds no token.
+
+    Blanks already stand between words; what is added is a mark on both sides
+    of every symbol, save those inside a word, after which marks next to a
+    blank or to the edge of a line or sentence are dropped.
+    """
+    col = _sub(_without_controls(F.coalesce(text, F.lit(""))), f"[{BLANK}]+", " ")
     if sentences:
         col = _mark_sentences(col)
-    token = rf"{WORD_PATTERN}|[^{WORD}{BLANK}\n{SENTENCE}{EDGE}]"
-    col = _sub(col, token, GLUE + "$0")
-    col = _sub(col, rf"{EDGE}?[{BLANK}][{BLANK}{EDGE}]*", " ")
-    col = _swap(col, EDGE, "")
-    col = _swap(_swap(col, " " + GLUE, " "), SENTENCE + GLUE, SENTENCE)
+    symbol = rf"[^{WORD} \n{SENTENCE}{GLUE}](?!(?<=[{WORD}]{JOINERS})[{WORD}])"
+    col = _sub(col, symbol, f"{GLUE}$0{GLUE}")
     col = F.concat(F.lit("\n"), col, F.lit("\n"))
-    col = _sub(col, rf" ?\n[ \n]*{GLUE}?", "\n")
-    return F.btrim(col, F.lit("\n"))
+    # Between two tokens stand at most three marks.
+    for old, new in (
+        (GLUE * 2, GLUE), (GLUE * 2, GLUE), (GLUE + " ", " "), (" " + GLUE, " "),
+        (GLUE + SENTENCE, SENTENCE), (SENTENCE + GLUE, SENTENCE), (GLUE + "\n", "\n"), (" \n", "\n"),
+    ):
+        col = _swap(col, old, new)
+    return F.btrim(_sub(col, rf"\n[ \n{GLUE}]+", "\n"), F.lit("\n"))
 
 
 def paragraphs(segmented_text: Column) -> Column:

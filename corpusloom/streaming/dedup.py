@@ -16,7 +16,7 @@ from corpusloom.operators.dedup import first_copies, keep_paragraphs
 from corpusloom.operators.tokens import paragraph_hash
 from corpusloom.staging import stage
 
-SALTS = 16
+SALTS = 64
 SEEN_SCHEMA = "k binary, batch_id bigint"
 
 

@@ -41,6 +41,12 @@ def test_blocks_drop_silent_elements_and_tags(spark):
     assert texts(spark, page) == ["one bold text", "two", "three", "unclosed"]
 
 
+def test_unclosed_silent_elements_run_to_the_end(spark):
+    assert texts(spark, "<p>a<script>b <p>c") == ["a"]
+    assert texts(spark, "<p>a<!-- b <p>c") == ["a"]
+    assert texts(spark, "<html><head><title>t</title><body><p>a") == ["t", "a"]
+
+
 def test_entities(spark):
     page = "a &lt;b&gt; &amp;lt; &#233;&#xE9; &nbsp;x &bogus; & &#0; &#99999999; &AMP"
     assert texts(spark, page) == ["a <b> &lt; éé x &bogus; & &#0; &#99999999; &AMP"]

@@ -48,6 +48,11 @@ def test_control_characters_end_tokens_and_vanish(docs):
     assert got == [(0, "a", False), (0, "b", True), (0, "c", False)]
 
 
+def test_many_control_characters_take_linear_time(docs):
+    text = "a" + "\x00" * 200_000 + "b" + " \x01" * 100_000 + "c"
+    assert rows(tokens.token_table(docs(text)), "tok", "glue") == [("a", False), ("b", True), ("c", False)]
+
+
 def test_positions_count_kept_paragraphs(docs):
     got = rows(tokens.paragraph_split(docs("\n \na\n\n \nb\n")), "par_pos", "par")
     assert got == [(0, "a"), (1, "b")]
