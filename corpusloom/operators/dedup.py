@@ -15,9 +15,14 @@ from corpusloom.functions import text as tx
 
 
 def first_copies(pars: DataFrame, id: str = "doc_id") -> DataFrame:
-    """``id, par_pos, key`` of the first copy of every paragraph key."""
-    # Sixteen bytes travel instead of thirty-two hexadecimal digits.
-    keyed = pars.select(F.unhex("key").alias("k"), F.struct(id, "par_pos").alias("at"))
+    """``id, par_pos, key`` of the first copy of every paragraph key.
+
+    Keys are 32 hexadecimal digits, as :func:`paragraph_hash` makes them.
+    """
+    # Sixteen bytes travel instead of thirty-two digits.
+    no_key = F.raise_error(F.lit("paragraph keys must be hexadecimal")).cast("binary")
+    packed = F.coalesce(F.unhex("key"), no_key)
+    keyed = pars.select(packed.alias("k"), F.struct(id, "par_pos").alias("at"))
     firsts = keyed.groupBy("k").agg(F.min("at").alias("at"))
     return firsts.select("at.*", F.lower(F.hex("k")).alias("key"))
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from corpusloom.functions import text as tx
 from corpusloom.operators import dedup, tokens
 from corpusloom.plans import corpus
@@ -49,6 +51,12 @@ def test_string_ids(docs):
     check(df)
 
 
+def test_other_keys_are_refused(spark):
+    pars = spark.createDataFrame([(1, 0, "not hex")], "doc_id int, par_pos int, key string")
+    with pytest.raises(Exception, match="hexadecimal"):
+        dedup.first_copies(pars).collect()
+
+
 def test_keep_unique(docs):
     cut = tokens.segment_paragraphs(docs(*TEXTS))
     pars = cut.select("doc_id", "par_pos", tx.paragraph_key(F.col("seg")).alias("key"), F.col("seg").alias("par"))
