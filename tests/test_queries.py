@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, connect
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,8 @@ def con():
 
 
 def test_contract_is_complete():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
@@ -22,7 +25,7 @@ def test_entry(spark):
     assert df.columns == ["doc_id", "text", "n_par", "n_dup"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     same, note = compare(spark, con, SF, name)
     assert same, note
