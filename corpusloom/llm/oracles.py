@@ -7,11 +7,11 @@ ORACLES: dict[str, str] = {}
 ORACLES["op1_near_duplicates"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3
-    THEN list_transform(range(1, len(ws) - 1), i -> array_to_string(ws[i:i + 2], ' '))
+    THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -29,3 +29,15 @@ least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN least ON least.node = d.doc_id
 """
+
+ORACLES["op2_top_k"] = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""

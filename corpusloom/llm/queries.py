@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
+from corpusloom.llm.topk import top_k
 from corpusloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +34,10 @@ def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 def op1_near_duplicates(spark, sf):
     """Shingles of three words, linked from a similarity of 0.85."""
     return near_duplicates(documents(spark, sf), words=3, percent=85)
+
+
+@query
+def op2_top_k(spark, sf):
+    """Ids divisible by 20 ask; all other rows are candidates."""
+    vectors = read_table(spark, f"{sf}/embeddings.parquet", ["vec_id", "embedding"])
+    return top_k(vectors, lambda vec_id: vec_id % 20 == 0)
