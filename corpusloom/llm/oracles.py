@@ -41,3 +41,53 @@ s AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """
+
+
+def _url_rounds(rounds: int = 12) -> str:
+    """The rounds of the two PageRanks, one common table expression each."""
+    step = """
+r{k} AS (
+  SELECT host, 0.15 * good + 0.85 * coalesce(f.t, 0) AS t, 0.15 + 0.85 * coalesce(f.p, 0) AS p,
+    0.15 * bad + 0.85 * coalesce(b.d, 0) AS d, 0.15 + 0.85 * coalesce(b.r, 0) AS r
+  FROM nodes
+  LEFT JOIN (SELECT dst, sum(t / n_out) AS t, sum(p / n_out) AS p
+    FROM links JOIN n_out USING (src) JOIN r{j} ON host = src GROUP BY dst) f ON f.dst = host
+  LEFT JOIN (SELECT src, sum(d / n_in) AS d, sum(r / n_in) AS r
+    FROM links JOIN n_in USING (dst) JOIN r{j} ON host = dst GROUP BY src) b ON b.src = host)"""
+    return ",".join(step.format(k=k, j=k - 1) for k in range(1, rounds + 1))
+
+
+ORACLES["op7_url_verdicts"] = r"""
+WITH u AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(rh, rp, rv) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+ruled AS (
+  SELECT page_id, any_value(host) AS host, any_value(path) AS path, any_value(html) AS html,
+    arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS ruled
+  FROM h LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+links AS (
+  SELECT DISTINCT host AS src, translate(dst, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM (SELECT host, unnest(regexp_extract_all(html,
+    '(?i)href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1)) AS dst FROM ruled)
+  WHERE host <> '' AND host <> translate(dst, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+n_out AS (SELECT src, count(*) AS n_out FROM links GROUP BY src),
+n_in AS (SELECT dst, count(*) AS n_in FROM links GROUP BY dst),
+seeds AS (
+  SELECT host, avg(coalesce(ruled = 'allow', false)::INT) AS good, avg(coalesce(ruled = 'block', false)::INT) AS bad
+  FROM ruled WHERE host <> '' GROUP BY host),
+nodes AS (
+  SELECT host, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad
+  FROM (SELECT src AS host FROM links UNION SELECT dst FROM links UNION SELECT host FROM seeds) LEFT JOIN seeds USING (host)),
+r0 AS (SELECT host, good AS t, 1.0::DOUBLE AS p, bad AS d, 1.0::DOUBLE AS r FROM nodes),
+""" + _url_rounds() + r""",
+blocked AS (
+  SELECT host FROM r12 WHERE round(d / r, 9) >= 0.5 AND round(d / r, 9) > round(t / p, 9))
+SELECT page_id, host, path, rule,
+  coalesce(ruled, CASE WHEN host IN (FROM blocked) THEN 'block' END, 'allow') AS verdict
+FROM ruled
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.topk import top_k
+from corpusloom.llm.url_filter import url_verdicts
 from corpusloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +42,15 @@ def op2_top_k(spark, sf):
     """Ids divisible by 20 ask; all other rows are candidates."""
     vectors = read_table(spark, f"{sf}/embeddings.parquet", ["vec_id", "embedding"])
     return top_k(vectors, lambda vec_id: vec_id % 20 == 0)
+
+
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op7_url_verdicts(spark, sf):
+    pages = read_table(spark, f"{sf}/pages.parquet", ["page_id", "url", "html"])
+    return url_verdicts(pages, URL_RULES)
