@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
+from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.topk import top_k
 from corpusloom.llm.url_filter import url_verdicts
 from corpusloom.sources.tables import read_table
@@ -27,6 +28,12 @@ def query(run: Query) -> Query:
     return start
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return read_table(spark, f"{sf}/documents.parquet", list(columns or ("doc_id", "text")))
 
@@ -54,3 +61,10 @@ URL_RULES = [
 def op7_url_verdicts(spark, sf):
     pages = read_table(spark, f"{sf}/pages.parquet", ["page_id", "url", "html"])
     return url_verdicts(pages, URL_RULES)
+
+
+@query
+def op6_packing(spark, sf):
+    pieces = pack_documents(documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
