@@ -89,6 +89,15 @@ class Texts:
         lengths = (ends - starts).astype(np.uint64)
         return mix((self._prefix[ends] - self._prefix[starts]) * inverse[starts] + lengths)
 
+    def subset(self, docs: np.ndarray) -> Texts:
+        """The documents with these numbers, in their order."""
+        parts = [self.data[self.bounds[i]:self.bounds[i + 1]] for i in docs]
+        return Texts(np.concatenate(parts) if parts else self.data[:0], np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))))
+
+    def owners(self, starts: np.ndarray) -> np.ndarray:
+        """The document of each of the sorted ``starts``."""
+        return np.repeat(np.arange(len(self)), self.counts(starts))
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sum over each document of one number per byte."""
         total = np.zeros(len(self.data) + 1, np.int64)
