@@ -91,3 +91,32 @@ SELECT page_id, host, path, rule,
   coalesce(ruled, CASE WHEN host IN (FROM blocked) THEN 'block' END, 'allow') AS verdict
 FROM ruled
 """
+
+ORACLES["op4_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+counts AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars FROM w),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+    unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) AS win FROM w),
+often AS (SELECT doc_id, win FROM windows GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM windows JOIN often USING (doc_id, win)) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lined AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_lines, sum(n - 1)::BIGINT AS n_dup_lines
+  FROM (SELECT doc_id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL)
+  GROUP BY doc_id),
+m AS (
+  SELECT doc_id, n_words, word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters
+  FROM d JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN lined USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 5 * n_symbols > n_words
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines OR 2 * n_upper > n_letters) AS kept
+FROM m
+"""

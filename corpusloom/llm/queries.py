@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.quality_rules import quality_measures
 from corpusloom.llm.topk import top_k
 from corpusloom.llm.url_filter import url_verdicts
 from corpusloom.sources.tables import read_table
@@ -68,3 +69,8 @@ def op6_packing(spark, sf):
     pieces = pack_documents(documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
+@query
+def op4_quality_rules(spark, sf):
+    return quality_measures(documents(spark, sf))
