@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
 from corpusloom.llm.topk import top_k
 from corpusloom.llm.url_filter import url_verdicts
@@ -74,3 +75,10 @@ def op6_packing(spark, sf):
 @query
 def op4_quality_rules(spark, sf):
     return quality_measures(documents(spark, sf))
+
+
+@query
+def op10_quality_model(spark, sf):
+    """Sources are hosts, languages their paths."""
+    labels = read_table(spark, f"{sf}/labels.parquet", ["doc_id", "quality"])
+    return quality_posterior(documents(spark, sf, "doc_id", "text", "source", "lang"), labels)
