@@ -12,6 +12,7 @@ from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
 from corpusloom.llm.topk import top_k
+from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.url_filter import url_verdicts
 from corpusloom.sources.tables import read_table
 
@@ -82,3 +83,8 @@ def op10_quality_model(spark, sf):
     """Sources are hosts, languages their paths."""
     labels = read_table(spark, f"{sf}/labels.parquet", ["doc_id", "quality"])
     return quality_posterior(documents(spark, sf, "doc_id", "text", "source", "lang"), labels)
+
+
+@query
+def op3_toxicity(spark, sf):
+    return toxicity(documents(spark, sf), read_table(spark, f"{sf}/labels.parquet", ["doc_id", "toxic"]))
