@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.pii import BASE, pii_spans
 from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
 from corpusloom.llm.topk import top_k
@@ -88,3 +89,16 @@ def op10_quality_model(spark, sf):
 @query
 def op3_toxicity(spark, sf):
     return toxicity(documents(spark, sf), read_table(spark, f"{sf}/labels.parquet", ["doc_id", "toxic"]))
+
+
+def _written(spans: str):
+    """Spans as ``kind:start:end``, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op5_pii(spark, sf):
+    """Counts and digest of the base spans, and all spans."""
+    found = pii_spans(documents(spark, sf))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
