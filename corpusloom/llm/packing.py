@@ -15,7 +15,6 @@ do not change; a repeated task then packs the same documents in the same way.
 
 from __future__ import annotations
 
-import re
 from array import array
 from functools import lru_cache, partial
 
@@ -23,49 +22,113 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructField, StructType, LongType, BinaryType, IntegerType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+
+from corpusloom.llm.arrays import Texts, slices
 
 TIERS = (256, 512, 1024, 2048)
 #: Tokens of rests among which fits are sought; below ``RESERVE`` a task reads on.
 POOL, RESERVE = 1 << 20, 1 << 17
 #: Tokens in a full step group.
 STEP_TOKENS = 64 * 2048
-CACHE_WORDS = 400_000
-SLICE_CHARS, OUT_BYTES = 1 << 20, 8 << 20
-#: Separators str.split() has beyond the tokenizer's, and the mark of special tokens.
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+CACHE_UNITS, ROW_UNITS = 1_000_000, 2048
+OUT_BYTES = 8 << 20
+_BYTES = np.arange(256)
+_LETTER = (_BYTES >= 97) & (_BYTES <= 122)
+_PUNCTUATION = (_BYTES > 32) & (_BYTES < 127) & ~_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57)) & ~((_BYTES >= 65) & (_BYTES <= 90))
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops white space, remembered word by word.
+    """Ids of a tokenizer that drops white space, remembered unit by unit.
 
-    Such a tokenizer never joins text across white space, so the ids of a text
-    are those of its words in a row.  Texts with control separators or marks of
-    special tokens are encoded whole.
+    The tokenizer must lower-case, never join text across white space, and end
+    a pre-token between an ASCII letter and ASCII punctuation.  The ids of a
+    text are then those of its units in a row: words, cut behind a letter that
+    punctuation follows.  Texts with marks of special tokens are encoded whole.
+    Units are told apart by their 64-bit hash.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, places below
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remember(self, keys: np.ndarray, units: list[str]) -> None:
+        """Encode new units; those of letters alone in rows, as each is one pre-token."""
+        alone = np.array([u.isalpha() and (u.isascii() or u.lower().isalpha()) for u in units], bool)
+        parts: list[np.ndarray] = []
+        order, sizes = [], []
+        single = np.flatnonzero(alone).tolist()
+        rest = np.flatnonzero(~alone).tolist()
+        for k in range(0, len(single), ROW_UNITS):
+            row = single[k:k + ROW_UNITS]
+            ids = self.whole([" ".join([units[i] for i in row])])[0]
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(row):
+                parts.append(ids)
+                order.extend(row)
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                rest.extend(row)
+        parts.extend(self.whole([units[i] for i in rest]))
+        sizes.append(np.array([len(x) for x in parts[len(parts) - len(rest):]] if rest else [], np.int64))
+        sizes, ids = np.concatenate(sizes), np.concatenate(parts)
+        need = self.used + len(ids)
+        if need > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(need, np.uint32)))
+        self.ids[self.used:need] = ids
+        rows = len(self.size) + np.argsort(np.array(order + rest))
+        self.begin = np.concatenate((self.begin, self.used + np.cumsum(sizes) - sizes))
+        self.size = np.concatenate((self.size, sizes))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.rows = np.insert(self.keys, at, keys), np.insert(self.rows, at, rows)
+        self.used = need
+
+    def encode(self, texts: Texts) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [None if _WHOLE.search(t) else t.split() for t in texts]
-        known = self.known
-        new = set().union(*(w for w in words if w)).difference(known)
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = set().union(*(w for w in words if w))
-            new = list(new)
-            known.update(zip(new, self._encode(new), strict=True))
-        return [self._encode([t])[0] if w is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, words, strict=True)]
+        texts = texts.lowered()
+        data = texts.data
+        starts, ends = texts.words
+        if not len(starts):
+            return [b""] * len(texts)
+        cut = np.concatenate(([False], _LETTER[data[:-1]] & _PUNCTUATION[data[1:]], [False]))
+        cut[texts.bounds] = False
+        cuts = np.flatnonzero(cut)
+        starts, ends = np.sort(np.concatenate((starts, cuts))), np.sort(np.concatenate((ends, cuts)))
+        keys, first, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > CACHE_UNITS:
+            self._forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        new[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] != keys[at < len(self.keys)]
+        if new.any():
+            raw, at = data.tobytes(), first[new]
+            self._remember(keys[new], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        rows = self.rows[np.searchsorted(self.keys, keys)][which]
+        sizes = self.size[rows]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.ids[np.repeat(self.begin[rows] - total[:-1], sizes) + np.arange(total[-1])]
+        bounds = total[np.searchsorted(starts, texts.bounds)]
+        out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        if len(np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))):
+            for i in range(len(texts)):
+                raw = data[texts.bounds[i]:texts.bounds[i + 1]].tobytes()
+                if b"<|" in raw:
+                    out[i] = None
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +222,7 @@ class Packer:
 
 
 def _pack(batches, path: str, end_id: int, tiers, id_type):
-    encode, end = encoder(path).encode, array("I", [end_id]).tobytes()
+    end = array("I", [end_id]).tobytes()
     packer = Packer(tiers, TaskContext.get().partitionId() << 33)
 
     def flush():
@@ -173,21 +236,16 @@ def _pack(batches, path: str, end_id: int, tiers, id_type):
             ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_group"])
 
     waiting = 0
-    for batch in batches:
-        docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-        begin = 0
-        while begin < len(texts):
-            stop, chars = begin, 0
-            while stop < len(texts) and (stop == begin or chars + len(texts[stop]) <= SLICE_CHARS):
-                chars += len(texts[stop])
-                stop += 1
-            for doc, ids in zip(docs[begin:stop], encode(texts[begin:stop]), strict=True):
-                packer.add(doc, ids + end)
-                waiting += len(ids)
-                if waiting > OUT_BYTES and packer.out:
-                    yield flush()
-                    waiting = 0
-            begin = stop
+    for batch, texts in slices(batches):
+        docs, column = batch.column(0).to_pylist(), batch.column(1)
+        for i, ids in enumerate(encoder(path).encode(texts)):
+            if ids is None:  # marks of special tokens
+                ids = encoder(path).whole([column[i].as_py()])[0].tobytes()
+            packer.add(docs[i], ids + end)
+            waiting += len(ids)
+            if waiting > OUT_BYTES and packer.out:
+                yield flush()
+                waiting = 0
     packer.pack()
     if packer.out:
         yield flush()
@@ -215,7 +273,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tupl
     names = {"start": LongType(), "length": LongType(), "ids": BinaryType(), "doc_tokens": LongType(),
              "sequence_id": LongType(), "offset": LongType(), "tier": IntegerType(), "step_group": LongType()}
     schema = StructType([StructField("doc_id", kind), *(StructField(k, v) for k, v in names.items())])
-    from pyspark.sql.pandas.types import to_arrow_type
-
     work = partial(_pack, path=tokenizer, end_id=end_id, tiers=tiers, id_type=to_arrow_type(kind))
     return docs.select("doc_id", "text").mapInArrow(work, schema)
