@@ -6,10 +6,10 @@
 3. Bands of minima put classes into buckets.  In each bucket all members are
    compared with the member that shares most buckets with others: first by
    their signatures, then on full sets.  Components follow.
-4. What is left are pairs of one bucket whose components differ.  They are all
+4. What is left are pairs with one centre whose components differ.  They are all
    compared, but for those that counts rule out.  A shingle that no other
    contested document has is in no intersection.  Of the others, those inside
-   and those outside the bucket's centre are counted apart, and the sum of the
+   and those outside the centre are counted apart, and the sum of the
    lesser counts bounds the intersection.  Documents with equal counts are one
    block, and only blocks whose bounds allow a link are opened into pairs.
 
@@ -203,28 +203,32 @@ class _Search:
             partial(_sets, words=self.words), f"doc_id {self.kind}, set binary")
 
     def stars(self, members: DataFrame) -> DataFrame:
-        """``bucket, rep, n, c``: with the member that shares most buckets with others."""
+        """``rep, n, c, nc``: members of buckets and the centres of these.
+
+        A bucket's centre is the member that shares most buckets with others.
+        Buckets with the same centre count as one from here on.
+        """
         weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
         ranked = members.join(weight, "rep")
         centre = ranked.groupBy("bucket").agg(F.max(F.struct("weight", "rep", "n")).alias("c"))
         rows = members.join(centre, "bucket")
-        return stage(rows.select("bucket", "rep", "n", F.col("c.rep").alias("c"), F.col("c.n").alias("nc")), "stars")
+        return stage(rows.select("rep", "n", F.col("c.rep").alias("c"), F.col("c.n").alias("nc")).distinct(), "stars")
 
     def star_pairs(self, stars: DataFrame) -> DataFrame:
-        """Each member of a bucket with its centre."""
+        """Each member with its centre."""
         fits = F.least("n", "nc") * 100 >= F.greatest("n", "nc") * self.percent
         return _pairs(stars.where((F.col("rep") != F.col("c")) & fits), "rep", "c")
 
     def contested(self, stars: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame:
-        """Members of buckets with several components, with the counts that bound intersections.
+        """Members of centres with several components, with the counts that bound intersections.
 
         ``shared``: shingles that another contested document has; ``inner`` and
         ``outer``: those inside and outside the centre, -1 where not known.
         """
         rows = stars.join(found.toDF("rep", "component"), "rep", "left").withColumn(
             "component", F.coalesce("component", "rep"))
-        several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        rows = stage(rows.join(several.where("low <> high").select("bucket"), "bucket"), "contested")
+        several = rows.groupBy("c").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        rows = stage(rows.join(several.where("low <> high").select("c"), "c"), "contested")
         ids = stage(rows.select(F.col("rep").alias("doc_id")).distinct(), "ids")
         shingles = self.sets_of(ids).mapInArrow(_explode_sets, f"doc_id {self.kind}, shingle long")
         own = shingles.groupBy("shingle").agg(F.count("*").alias("k"), F.min("doc_id").alias("rep")).where("k = 1")
@@ -234,7 +238,7 @@ class _Search:
         known = compared.select("a", "b", "both")
         rows = rows.withColumns({"a": F.least("rep", "c"), "b": F.greatest("rep", "c")}).join(known, ["a", "b"], "left")
         inner = F.when(F.col("rep") == F.col("c"), F.col("n")).otherwise(F.coalesce("both", F.lit(-1)))
-        rows = rows.select("bucket", "rep", "component", "n", "shared", inner.alias("inner"))
+        rows = rows.select("c", "rep", "component", "n", "shared", inner.alias("inner"))
         outer = F.when(F.col("inner") < 0, -1).otherwise(F.greatest(F.lit(0), F.col("shared") - F.col("inner")))
         kind = F.expr(f"cast(floor(ln(n) / ln({SIZE_STEP})) as int)")
         cell = F.ceil(F.pow(F.lit(SIZE_STEP), F.col("kind")) / 100)
@@ -244,24 +248,24 @@ class _Search:
             "cell": F.floor(F.col("shared") / cell)}), "contested")
 
     def rest_pairs(self, rows: DataFrame) -> DataFrame:
-        """Pairs of one bucket and different components that counts do not rule out."""
+        """Pairs with one centre and different components that counts do not rule out."""
         p = self.percent
-        place = ["bucket", "kind", "component", "cell", "cell_in", "cell_out"]
+        place = ["c", "kind", "component", "cell", "cell_in", "cell_out"]
         blocks = rows.groupBy(*place).agg(
             F.min("n").alias("n_y"), F.max("shared").alias("shared_y"), F.max("inner").alias("inner_y"),
             F.max("outer").alias("outer_y")).withColumnRenamed("component", "component_y")
         kind = f"cast(floor(ln(%s) / ln({SIZE_STEP})) as int)"
         top = f"least(n, floor(({100 + p} * shared - {p} * n) / {p}))"
         left = rows.withColumn("top", F.expr(top)).where(f"100 * top >= {p} * n").select(
-            "bucket", *(F.col(c).alias(f"{c}_x") for c in ("rep", "component", "n", "shared", "inner", "outer")),
+            "c", *(F.col(c).alias(f"{c}_x") for c in ("rep", "component", "n", "shared", "inner", "outer")),
             F.explode(F.expr(f"sequence({kind % f'greatest(1, n * {p} / 100)'}, {kind % 'top'})")).alias("kind"))
         bound = """if(inner_x < 0 or inner_y < 0, least(shared_x, shared_y), least(shared_x, shared_y,
                    least(inner_x, inner_y) + least(outer_x, outer_y)))"""
         fits = f"component_x <> component_y and {100 + p} * {bound} >= {p} * (n_x + n_y)"
-        near = left.join(blocks, ["bucket", "kind"]).where(fits).drop("n_y", "shared_y", "inner_y", "outer_y")
+        near = left.join(blocks, ["c", "kind"]).where(fits).drop("n_y", "shared_y", "inner_y", "outer_y")
         right = rows.select(*place, *(F.col(c).alias(f"{c}_y") for c in ("rep", "n", "shared", "inner", "outer")))
         right = right.withColumnRenamed("component", "component_y")
-        keys = ["bucket", "kind", "component_y", "cell", "cell_in", "cell_out"]
+        keys = ["c", "kind", "component_y", "cell", "cell_in", "cell_out"]
         pairs = near.join(right, keys).where(f"n_y <= n_x and 100 * n_y >= {p} * n_x and {fits}")
         return _pairs(pairs, "rep_x", "rep_y")
 

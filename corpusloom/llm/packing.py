@@ -26,6 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from corpusloom.llm.arrays import Texts, slices
+from corpusloom.llm.units import UnitIds
 
 TIERS = (256, 512, 1024, 2048)
 #: Tokens of rests among which fits are sought; below ``RESERVE`` a task reads on.
@@ -56,12 +57,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, places below
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known = UnitIds(CACHE_UNITS)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,16 +82,7 @@ class WordEncoder:
         parts.extend(self.whole([units[i] for i in rest]))
         sizes.append(np.array([len(x) for x in parts[len(parts) - len(rest):]] if rest else [], np.int64))
         sizes, ids = np.concatenate(sizes), np.concatenate(parts)
-        need = self.used + len(ids)
-        if need > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(need, np.uint32)))
-        self.ids[self.used:need] = ids
-        rows = len(self.size) + np.argsort(np.array(order + rest))
-        self.begin = np.concatenate((self.begin, self.used + np.cumsum(sizes) - sizes))
-        self.size = np.concatenate((self.size, sizes))
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.rows = np.insert(self.keys, at, keys), np.insert(self.rows, at, rows)
-        self.used = need
+        self.known.add(keys, np.array(order + rest), sizes, ids)
 
     def encode(self, texts: Texts) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -109,18 +96,11 @@ class WordEncoder:
         cuts = np.flatnonzero(cut)
         starts, ends = np.sort(np.concatenate((starts, cuts))), np.sort(np.concatenate((ends, cuts)))
         keys, first, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > CACHE_UNITS:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        new[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] != keys[at < len(self.keys)]
+        new = self.known.missing(keys)
         if new.any():
             raw, at = data.tobytes(), first[new]
             self._remember(keys[new], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-        rows = self.rows[np.searchsorted(self.keys, keys)][which]
-        sizes = self.size[rows]
-        total = np.concatenate(([0], np.cumsum(sizes)))
-        ids = self.ids[np.repeat(self.begin[rows] - total[:-1], sizes) + np.arange(total[-1])]
+        ids, total = self.known.gather(keys, which)
         bounds = total[np.searchsorted(starts, texts.bounds)]
         out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         if len(np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))):

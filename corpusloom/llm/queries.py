@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.pieces import decode_pieces, encode_pieces
 from corpusloom.llm.pii import BASE, pii_spans
 from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
+from corpusloom.llm.token_counts import EDIT, apply_edits, build_trees
 from corpusloom.llm.topk import top_k
 from corpusloom.llm.toxicity import toxicity
 from corpusloom.llm.url_filter import url_verdicts
@@ -100,5 +104,49 @@ def _written(spans: str):
 def op5_pii(spark, sf):
     """Counts and digest of the base spans, and all spans."""
     found = pii_spans(documents(spark, sf))
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(kinds) - F.size(F.array_remove(kinds, kind)) for kind in BASE]
+    counts = [n.cast("long").alias(f"n_{kind}") for n, kind in zip(counts, BASE, strict=True)]
     return found.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
+
+
+_LONG_NUMBER = re.compile(r"[0-9]{4,}")
+
+
+def clean_up_edits(text: str) -> list[dict]:
+    """Edits that delete repeated lines and write numbers of four digits or more as 0."""
+    edits, seen, at = [], set(), 0
+    for line in text.splitlines(keepends=True):
+        if line.strip() and line in seen:
+            edits.append({"start": at, "end": at + len(line), "new": ""})
+        else:
+            edits += [{"start": at + m.start(), "end": at + m.end(), "new": "0"} for m in _LONG_NUMBER.finditer(line)]
+        seen.add(line)
+        at += len(line)
+    return edits
+
+
+def _with_edits(batches):
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("new", pa.string())]))
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+        yield batch.append_column("edits", pa.array([clean_up_edits(t or "") for t in texts], kind))
+
+
+@query
+def op8_token_counts(spark, sf):
+    """Counts before and after repeated lines and long numbers are edited away."""
+    tokenizer = tokenizer_file("byte_bpe_50k.json")
+    trees = build_trees(documents(spark, sf), tokenizer).drop("n_tokens")
+    edits = trees.mapInArrow(_with_edits, f"doc_id bigint, text string, tree binary, edits array<{EDIT}>")
+    return apply_edits(edits, tokenizer).select("doc_id", "n_edits", "n_before", F.col("n_tokens").alias("n_after"), "n_encoded")
+
+
+@query
+def op9_pieces(spark, sf):
+    """All texts encoded, and decoded again."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    rows = decode_pieces(encode_pieces(documents(spark, sf), model), model)
+    return rows.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
