@@ -150,11 +150,14 @@ def _compared(batches, percent: int):
             ["a", "b", "both", "linked"])
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is in ``ids``; the ids are broadcast when few."""
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents whose id is (``left_semi``) or is not (``left_anti``) in ``ids``.
+
+    The stored ids are broadcast when few.  Documents without an id are in none.
+    """
     if fits_broadcast(ids, ID_ROW, ID_BYTES):
         ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_semi")
+    return docs.join(ids, "doc_id", how)
 
 
 class _Search:
@@ -199,7 +202,7 @@ class _Search:
 
     def sets_of(self, ids: DataFrame) -> DataFrame:
         """``doc_id, set`` of the documents in ``ids``."""
-        return _only(self.docs.select("doc_id", "text"), ids).mapInArrow(
+        return by_ids(self.docs.select("doc_id", "text"), ids, "left_semi").mapInArrow(
             partial(_sets, words=self.words), f"doc_id {self.kind}, set binary")
 
     def stars(self, members: DataFrame) -> DataFrame:

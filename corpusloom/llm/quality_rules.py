@@ -212,3 +212,13 @@ def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA) ->
     rules = ordered(rules, _sample(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(partial(_judged, rules=rules), f"doc_id {kind}, kept boolean")
+
+
+def _passing(batches, rules):
+    for batch, texts in slices(batches):
+        yield batch.filter(pa.array(passes(texts, rules, np.ones(len(texts), bool))))
+
+
+def keep_passing(docs: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with all their columns; nothing is shuffled."""
+    return docs.mapInArrow(partial(_passing, rules=ordered(rules, _sample(docs))), docs.schema)

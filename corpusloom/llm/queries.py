@@ -26,10 +26,14 @@ QUERIES: dict[str, Query] = {}
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers find the package where this process found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def query(run: Query) -> Query:
     def start(spark: SparkSession, sf: str) -> DataFrame:
-        # Python workers find the package where this process found it.
-        spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+        reach(spark)
         return run(spark, sf)
 
     QUERIES[run.__name__] = start
