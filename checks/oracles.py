@@ -7,11 +7,33 @@ first copies from window functions, Bloom bitmaps from byte sums.
 
 from __future__ import annotations
 
-from checks.queries import MEDIA_TYPE
-from corpusloom.functions.html import BLOCK_TAGS, ENTITIES, SILENT_PATTERNS, TITLE_PATTERN
-from corpusloom.functions.text import (
-    ABBREVIATIONS, BLANK, CONTROL, SENTENCE_PATTERN, VISIBLE_PATTERN, WORD, WORD_PATTERN,
+from html.entities import html5
+
+# Patterns of the rules, written out here so that a wrong one in the library shows.
+SILENT = (
+    (r"(?s)<!--.*?(?:-->|\z)", ""),
+    (r"(?is)<script(?:\s[^<>]*)?>.*?(?:</script\s*>|\z)", ""),
+    (r"(?is)<style(?:\s[^<>]*)?>.*?(?:</style\s*>|\z)", ""),
+    (r"(?is)<head(?:\s[^<>]*)?>.*?(?:</head\s*>|(<body[\s>])|\z)", r"\1"),
+    (r"(?is)<noscript(?:\s[^<>]*)?>.*?(?:</noscript\s*>|\z)", ""),
+    (r"(?is)<template(?:\s[^<>]*)?>.*?(?:</template\s*>|\z)", ""),
+    (r"(?is)<svg(?:\s[^<>]*)?>.*?(?:</svg\s*>|\z)", ""),
 )
+BLOCK_TAGS = (
+    "address|article|aside|blockquote|body|br|button|caption|center|dd|details|dialog|dir|div|dl"
+    "|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|legend|li|main"
+    "|menu|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|tfoot|th|thead|tr|ul"
+)
+TITLE_PATTERN = r"(?is)<head>.*?<title>(.*?)</title>.*?</head>"
+BLANK = r"\t\x0B\f\r\p{Z}"
+CONTROL = r"\x00-\x08\x0E-\x1F\x7F-\x9F"
+WORD = r"\p{L}\p{M}\p{N}"
+WORD_PATTERN = r"[\p{L}\p{M}\p{N}]+(?:['’.\-][\p{L}\p{M}\p{N}]+)*"
+SENTENCE_PATTERN = r"""([.!?…]["'”’)\]]*)[\t\x0B\f\r\p{Z}]+([\p{Lu}\p{N}"'“‘(\[])"""
+VISIBLE_PATTERN = r"[^\t\x0B\f\r\p{Z}\n\x00-\x08\x0E-\x1F\x7F-\x9F]"
+ABBREVIATIONS = "Dr|Mr|Mrs|Ms|Prof|St|vs|etc"
+MEDIA_TYPE = "text/html; charset=UTF-8"
+ENTITIES = {k.rstrip(";"): v for k, v in html5.items() if k.endswith(";")} | {"nbsp": " ", "shy": "", "NewLine": " "}
 
 
 def lit(value: str) -> str:
@@ -79,17 +101,20 @@ def keys_of(source: str) -> str:
 def visible_text() -> str:
     """SQL expression over ``html``: marked text, one block per line."""
     col = f"translate(html, chr(1) || chr(2) || {NL}, '   ')"
-    steps = [(pattern, "''") for pattern in SILENT_PATTERNS]
+    steps = [(pattern, lit(new)) for pattern, new in SILENT]
     steps += [
-        (r"(?i)<a(?:\s[^>]*)?>", "chr(1)"), (r"(?i)</a\s*>", "chr(2)"),
-        (rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^>]*)?>", NL), (r"<[/!?a-zA-Z][^>]*>", "''"),
+        (r"(?i)<a(?:\s[^<>]*)?>", "chr(1)"), (r"(?i)</a\s*>", "chr(2)"),
+        (rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^<>]*)?>", NL), (r"<[/!?a-zA-Z][^<>]*>", "''"),
     ]
     for pattern, new in steps:
         col = f"regexp_replace({col}, {lit(pattern)}, {new}, 'g')"
-    for name, char in ENTITIES.items():
-        if name != "&amp;":
-            col = f"replace({col}, {lit(name)}, {lit(char)})"
-    return f"replace({col}, '&amp;', '&')"
+    names = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in ENTITIES.items()) + "}"
+    name = "regexp_extract(p, '^([a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);', 1)"
+    code = f"""case when regexp_matches({name}, '^#0*[0-9]{{1,7}}$') then try_cast(substr({name}, 2) as bigint)
+        when regexp_matches({name}, '^#[xX]0*[0-9a-fA-F]{{1,6}}$') then try_cast('0x' || substr({name}, 3) as bigint) end"""
+    number = f"""case when {code} between 32 and 55295 or {code} between 57344 and 1114111 then chr(({code})::integer) end"""
+    return f"""array_to_string(list_transform(string_split({col}, '&'), lambda p, i: case when i = 1 then p
+        else coalesce(coalesce({names}[{name}], {number}) || substr(p, length({name}) + 2), '&' || p) end), '')"""
 
 
 BLOCKS = f"""
@@ -164,20 +189,16 @@ PREDICT = """
 def bloom(keys: str, name: str, n: str | None = None) -> str:
     """CTEs ``{name}_spec`` and ``{name}_bits(bucket, bit)`` of a key table."""
     n = n or f"(select greatest(1, count(distinct key)) from {keys})"
-    p, ln2 = "0.01::double", "ln(2::double)"
-    tries = ", ".join(str(k) for k in range(1, 8))
+    p = "0.01::double"
+    tries = ", ".join(str(k) for k in range(1, 33))
     return f"""
     {name}_n as (select {n} as n),
-    {name}_m as (select n, cast(floor(-n * ln({p}) / ({ln2} * {ln2})) as bigint) as m0 from {name}_n),
-    {name}_k as (select n, m0, cast(floor({ln2} * (m0 // n)) as bigint) as k0 from {name}_m),
-    {name}_t as (select n, m0, k0, k, case when k = k0 then m0 else
-        cast(floor(-k * n / ln(1 - pow({p}, 1.0::double / k))) as bigint) end as m
-        from {name}_k, (select unnest([{tries}]) as k) where k <= k0),
-    {name}_ok as (select *, bool_and(k = k0 or m < cast(floor(m0 * 1.2::double) as bigint)) over (order by k desc) as ok
-                  from {name}_t),
-    {name}_spec as (select k, m, n, -(-m // 32768) as w0, (m + 32767) // 32768 as blocks from {name}_ok where ok
-                    order by k limit 1),
-    {name}_dim as (select k, m, n, blocks, (m + blocks - 1) // blocks as width from {name}_spec)"""
+    {name}_t as (select n, k, -k * n / ln(1 - pow({p}, 1.0::double / k)) as m
+                 from {name}_n, (select unnest([{tries}]) as k)),
+    {name}_spec as (select k, greatest(1, floor(m))::bigint as m, n from {name}_t
+                    where m <= 1.2 * (select min(m) from {name}_t) order by k limit 1),
+    {name}_dim as (select k, m, n, (m + 32767) // 32768 as blocks,
+                     (m + (m + 32767) // 32768 - 1) // ((m + 32767) // 32768) as width from {name}_spec)"""
 
 
 def bits_of(keys: str, name: str) -> str:
@@ -258,7 +279,7 @@ LINES = f"""
                 as line_pos, line from _ln)"""
 
 EVENTS = """
-    prof as (select event_type as bolt_type, cast(event_id // 10 as varchar) as tuple_uuid, 1 as num_elements,
+    prof as (select 'run-' || (event_id % 2) as deployment_id, event_type as bolt_type, cast(event_id // 10 as varchar) as tuple_uuid, 1 as num_elements,
       cast(user_id as varchar) as hostname, ts as timestamp, cast(round(value * 1000000) as bigint) as time from events)"""
 SUMMARY = "count(*) as n, sum(time)::bigint as total, round(avg(time), 3) as avg, max(time) as max"
 
@@ -279,19 +300,42 @@ CONLL = """
       concat_ws(chr(9), tok_pos + 1, tok, lemma, pos, pos, '_', '_', '_', '_', '_') as line from ann where par_pos >= 0)"""
 
 ALL_VERDICTS = f"{keys_of(DOCS)}, {VERDICTS}"
-BENCH_BLOOM = f"""
+EARLIER = f"""
     {keys_of(DOCS)}, {VERDICTS},
     {paragraphs(ITEMS).replace('_cut', '_bcut').replace('_line', '_bline').replace('pars', 'bpars')},
     {tokens('bpars', 'b')},
-    {VERTICAL.replace('_vs', '_bvs').replace('toks', 'btoks').replace('vert ', 'bvert ').replace('from vert', 'from bvert').replace('keys as', 'bkeys as')},
+    {VERTICAL.replace('_vs', '_bvs').replace('toks', 'btoks').replace('vert ', 'bvert ').replace('from vert', 'from bvert').replace('keys as', 'bkeys as')}"""
+BENCH_BLOOM = f"""{EARLIER},
     {bloom('bkeys', 'f')}, fbits as (select distinct bucket, bit from ({bits_of('bkeys', 'f')})),
     probe as (select key, bool_and(f.bit is not null) as maybe_seen
               from ({bits_of('keys', 'f')}) b left join fbits f on f.bucket = b.bucket and f.bit = b.bit group by key)"""
 ALL_GRAMS = grams("select doc_id as id, text, lang from documents")
 
+CLEAN = f"""
+    {BLOCKS}, {TITLES}, {ALL_GRAMS}, {PROFILE},
+    {grams("select page_id as id, text, null as lang from article").replace('_c as', '_ac as').replace('from _c', 'from _ac').replace('grams as', 'agrams as')},
+    scored as (select id, gram from agrams), {PREDICT},
+    docs as (select a.page_id as id, a.text from article a join best b on b.id = a.page_id where b.lang = 'en'),
+    {paragraphs('select * from docs')}, {tokens()}, {VERTICAL}, {VERDICTS}, {KEPT},
+    clean as (select d.id as page_id, coalesce(k.text, '') as text from docs d left join kept k on k.id = d.id)"""
+# The kept text is cut into tokens again, under names of their own.
+AGAIN = f"""{paragraphs('select page_id as id, text from clean').replace('_cut', '_xcut').replace('_line', '_xline').replace('pars', 'xpars')},
+    {tokens('xpars', 'x')}"""
+MARKED = PAGE_TOKENS[PAGE_TOKENS.index("_hp as"):].replace("from article a", "from clean a").replace("from toks union", "from xtoks union")
+CLEAN_ANNOTATED = f"{CLEAN}, {AGAIN}, {MARKED}, {LEX_TOKENS}, {LEXICON}, {annotated('markup')}"
+
 ORACLES: dict[str, str] = {
+    "corpus_vertical": f"""with {CLEAN_ANNOTATED}, {LINES} select id as doc_id,
+        string_agg(line || {NL}, '' order by line_pos) as vertical from lines group by id""",
+    "corpus_conll": f"""with {CLEAN_ANNOTATED}, {CONLL},
+        _sn as (select id, par_pos, sent_pos, string_agg(line || {NL}, '' order by tok_pos) || {NL} as s
+                from rows group by all)
+        select id as doc_id, string_agg(s, '' order by par_pos, sent_pos) as conll from _sn group by id""",
     "src_warc": f"""select 'page-' || page_id as doc_id, url as uri, {lit(MEDIA_TYPE)} as content_type,
         regexp_replace(html, '\\r\\n?', {NL}, 'g') as payload, 'ok' as framing from pages""",
+    "src_warc_manifest": f"""select 'doc-' || doc_id as doc_id, 'urn:doc:' || doc_id as uri, 'unknown' as content_type,
+        regexp_replace('first' || {NL} || {NL} || 'WARC/1.0' || {NL} || 'Content-Length: 3' || {NL} || {NL} || coalesce(text, ''),
+          '\\r\\n?', {NL}, 'g') as payload, 'ok' as framing from documents""",
     "filter_html": """select * from (
         select 'p' || page_id as rec_id, cast(null as varchar) as content_type, html as payload from pages
         union all select 'd' || doc_id, 'text/plain', text from documents)
@@ -314,6 +358,8 @@ ORACLES: dict[str, str] = {
     "dedup_first_seen": f"{ALL_VERDICTS} select id as doc_id, par_pos, key, dup from verdicts",
     "dedup_keep_unique": f"""{ALL_VERDICTS} select v.id as doc_id, v.par_pos, t.vertical as par
         from verdicts v join vert t on t.id = v.id and t.par_pos = v.par_pos where not v.dup""",
+    "dedup_against_earlier": f"""{EARLIER} select id as doc_id, par_pos, key,
+          dup or key in (select key from bkeys) as dup from verdicts""",
     "dup_stats": f"""{ALL_VERDICTS} select id as doc_id, count(*) as n_par, count(*) filter (dup) as n_dup
         from verdicts group by id""",
     "doc_verdict_join": f"""{ALL_VERDICTS},
@@ -336,10 +382,13 @@ ORACLES: dict[str, str] = {
         from keys k join probe p on p.key = k.key""",
     "bloom_merge": f"""{keys_of(f"{DOCS} union all select 1000000000000 + conv_id * 1000 + turn as id, text from conversations")},
         {bloom('keys', 'f')}, fb as ({bits_of('keys', 'f')}), {bitmaps('fb')}
-        select bucket, bitmap, k, m, 2 * n as n from maps, f_dim""",
+        select bucket, bitmap, k, m, (select round(-any_value(m)::double / any_value(k) *
+            ln(greatest(any_value(m) - count(*), 1) / any_value(m)))::bigint
+            from (select distinct bucket, bit from fb), f_dim) as n from maps, f_dim""",
     "bloom_stats": f"""{keys_of(DOCS)}, {bloom('keys', 'f')}, fb as ({bits_of('keys', 'f')})
         select any_value(k) as k, any_value(m) as m, any_value(n) as n, count(*) as bits_set,
-          round(pow(1 - exp(-any_value(k)::double * any_value(n) / any_value(m)), any_value(k)), 9) as fpp
+          round(-any_value(m)::double / any_value(k) * ln(greatest(any_value(m) - count(*), 1) / any_value(m)))::bigint as n_est,
+          round(pow(least(count(*) / any_value(m), 1), any_value(k)), 9) as fpp
         from (select distinct bucket, bit from fb), f_dim""",
     "dedup_bloom": f"""{BENCH_BLOOM} select v.id as doc_id, v.par_pos, v.key, v.dup or p.maybe_seen as dup
         from verdicts v join probe p on p.key = v.key""",
@@ -378,13 +427,13 @@ ORACLES: dict[str, str] = {
           select 'read' as bolt_type, count(*) as num_elements from documents
           union all select 'language', count(*) from ({ENGLISH})
           union all select 'paragraphs', count(*) from pars)""",
-    "profile_by_stage": f"""with {EVENTS} select bolt_type, sum(num_elements)::bigint as elements, {SUMMARY}
-        from prof group by bolt_type""",
-    "profile_by_host": f"with {EVENTS} select hostname, bolt_type, {SUMMARY} from prof group by all",
-    "profile_by_time": f"""with {EVENTS} select date_trunc('hour', timestamp) as bucket, bolt_type, {SUMMARY}
+    "profile_by_stage": f"""with {EVENTS} select deployment_id, bolt_type, sum(num_elements)::bigint as elements, {SUMMARY}
+        from prof group by all""",
+    "profile_by_host": f"with {EVENTS} select deployment_id, hostname, bolt_type, {SUMMARY} from prof group by all",
+    "profile_by_time": f"""with {EVENTS} select date_trunc('hour', timestamp) as bucket, deployment_id, bolt_type, {SUMMARY}
         from prof group by all""",
-    "profile_trace": f"""with {EVENTS} select tuple_uuid, min(timestamp) as first_seen, max(timestamp) as last_seen,
-        {SUMMARY} from prof group by tuple_uuid""",
+    "profile_trace": f"""with {EVENTS} select deployment_id, tuple_uuid, min(timestamp) as first_seen, max(timestamp) as last_seen,
+        {SUMMARY} from prof group by all""",
     "stream_first_seen": f"{keys_of(DOCS)} select distinct key from keys",
     "stream_dedup": f"{ALL_VERDICTS} select id as doc_id, par_pos, key, dup from verdicts",
     "stream_documents": reassembled(DOCS),

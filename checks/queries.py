@@ -91,7 +91,7 @@ def events_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The events table read as profiling rows, ten events to a block."""
     events = read_table(spark, f"{sf}/events.parquet", ["event_id", "ts", "user_id", "event_type", "value"])
     return events.select(
-        F.lit("events").alias("deployment_id"),
+        F.concat(F.lit("run-"), F.expr("event_id % 2")).alias("deployment_id"),
         F.col("event_type").alias("bolt_type"),
         F.expr("event_id div 10").cast("string").alias("tuple_uuid"),
         F.lit(1).cast("long").alias("num_elements"),
@@ -120,9 +120,27 @@ def write_page_archives(spark: SparkSession, sf: str) -> str:
 
 @query
 def src_warc(spark, sf):
-    return warc.read_warc(spark, write_page_archives(spark, sf), check=True)
+    return warc.read_warc(spark, write_page_archives(spark, sf), framing="separator", check=True)
 
 
+@query
+def src_warc_manifest(spark, sf):
+    """Archives named by a manifest, of two versions, whose bodies hold what parts records."""
+    base = new_path(spark, "crawl")
+    docs = documents(spark, sf)
+    body = F.concat(F.lit("first\r\n\r\nWARC/1.0\r\nContent-Length: 3\r\n\r\n"), F.coalesce("text", F.lit("")))
+    record = F.concat(
+        F.lit("WARC/1."), F.expr("doc_id % 2"), F.lit("\r\nWARC-Type: resource\r\nWARC-Target-URI: urn:doc:"), F.col("doc_id"),
+        F.lit("\r\nWARC-Record-ID: <urn:uuid:doc-"), F.col("doc_id"), F.lit(">\r\nContent-Length: "),
+        F.octet_length(body), F.lit("\r\n\r\n"), body)
+    archives = docs.select(record.alias("value")).write.option("compression", "gzip").option("lineSep", "\r\n\r\n")
+    archives.text(f"{base}/warcfiles")
+    names = spark.read.format("binaryFile").load(f"{base}/warcfiles").select(F.regexp_extract("path", "[^/]*$", 0).alias("value"))
+    names.coalesce(1).write.text(f"{base}/manifest")  # one short line for each archive
+    manifest = spark.read.format("binaryFile").load(f"{base}/manifest").select("path").first().path
+    listed = warc.read_manifests(spark, manifest, folder="../warcfiles")
+    return warc.read_warc(spark, listed, check=True)
+
 @query
 def filter_html(spark, sf):
     """Pages among plain-text records."""
@@ -208,6 +226,12 @@ def dedup_first_seen(spark, sf):
     return dedup.dedup_first_seen(document_keys(spark, sf))
 
 
+@query
+def dedup_against_earlier(spark, sf):
+    """Paragraphs of the benchmark count as seen before."""
+    return dedup.dedup_first_seen(document_keys(spark, sf), seen=benchmark_keys(spark, sf))
+
+
 @query
 def dedup_keep_unique(spark, sf):
     docs = documents(spark, sf)
@@ -339,6 +363,18 @@ def conll_document(spark, sf):
     return corpus.conll_corpus(page_articles(spark, sf), lexicon(spark, sf))
 
 
+@query
+def corpus_vertical(spark, sf):
+    """Pages to vertical text of deduplicated English articles."""
+    return corpus.vertical_corpus(stage(clean_corpus(spark, sf), "clean"), lexicon(spark, sf))
+
+
+@query
+def corpus_conll(spark, sf):
+    """Pages to CoNLL text of deduplicated English articles."""
+    return corpus.conll_corpus(stage(clean_corpus(spark, sf), "clean"), lexicon(spark, sf))
+
+
 @query
 def conll_rows(spark, sf):
     toks = annotated_pages(spark, sf).where(F.col("par_pos") >= 0)
@@ -440,7 +476,7 @@ def _run_stream(spark, sf, start, schema):
     out = new_path(spark, "out")
     run = start(document_stream(spark, sf), new_path(spark, "seen"), out, new_path(spark, "checkpoint"))
     run.awaitTermination()
-    return spark.read.schema(schema).parquet(out).drop("batch_id")
+    return spark.read.schema(schema).parquet(out).drop("run", "batch_id")
 
 
 @query

@@ -1,42 +1,41 @@
-"""HTML to text blocks as string rewriting, one page per row."""
+"""HTML to text blocks as string rewriting, one page per row.
+
+Patterns are linear in the page: what is not closed runs to the end (a head to
+the body), and tags hold no ``<``, so no piece of text is tried twice.
+"""
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
-# Elements without readable text, block-level elements, entities.
-# Unclosed comments, scripts and styles run to the end of the page.
+# Elements without readable text, block-level elements.
 SILENT_PATTERNS = (
     r"(?s)<!--.*?(?:-->|\z)",
-    r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)",
-    r"(?is)<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)",
-    r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>",
-    r"(?is)<noscript(?:\s[^>]*)?>.*?</noscript\s*>",
-    r"(?is)<template(?:\s[^>]*)?>.*?</template\s*>",
-    r"(?is)<svg(?:\s[^>]*)?>.*?</svg\s*>",
+    r"(?is)<script(?:\s[^<>]*)?>.*?(?:</script\s*>|\z)",
+    r"(?is)<style(?:\s[^<>]*)?>.*?(?:</style\s*>|\z)",
+    r"(?is)<head(?:\s[^<>]*)?>.*?(?:</head\s*>|(?=<body[\s>])|\z)",
+    r"(?is)<noscript(?:\s[^<>]*)?>.*?(?:</noscript\s*>|\z)",
+    r"(?is)<template(?:\s[^<>]*)?>.*?(?:</template\s*>|\z)",
+    r"(?is)<svg(?:\s[^<>]*)?>.*?(?:</svg\s*>|\z)",
 )
 BLOCK_TAGS = (
     "address|article|aside|blockquote|body|br|button|caption|center|dd|details|dialog|dir|div|dl"
     "|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|legend|li|main"
     "|menu|nav|ol|option|p|pre|section|select|summary|table|tbody|td|textarea|tfoot|th|thead|tr|ul"
 )
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&middot;": "·", "&copy;": "©", "&reg;": "®", "&trade;": "™", "&hellip;": "…",
-    "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
-    "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»", "&bull;": "•", "&deg;": "°",
-    "&euro;": "€", "&pound;": "£", "&cent;": "¢", "&yen;": "¥", "&sect;": "§",
-    "&para;": "¶", "&times;": "×", "&szlig;": "ß", "&auml;": "ä", "&ouml;": "ö",
-    "&uuml;": "ü", "&Auml;": "Ä", "&Ouml;": "Ö", "&Uuml;": "Ü", "&eacute;": "é",
-    "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&ntilde;": "ñ", "&shy;": "",
-    "&amp;": "&",
-}
+# Every named entity of HTML, by name without marks; a soft hyphen is no text.
+ENTITIES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"shy": "", "nbsp": " ", "NewLine": " "}
 OPEN = "\u0001"
 CLOSE = "\u0002"
 SPACES = r"[ \t\x0B\f\r\x{00A0}]+"
 TITLE_PATTERN = r"(?is)<head>.*?<title>(.*?)</title>.*?</head>"
-# The same without going back, which could not help: linear in the page.
-TITLE_ATOMIC = r"(?is)<head>(?>.*?<title>)(?>(.*?)</title>)(?>.*?</head>)"
+# The same from the first head on, which is the only one that can match, and
+# without going back, which could not help: linear in the page.
+FROM_HEAD = r"(?is)<head>.*\z"
+TITLE_ATOMIC = r"(?is)\A<head>(?>.*?<title>)(?>(.*?)</title>)(?>.*?</head>)"
 
 
 def _sub(col: Column, pattern: str, replacement: str) -> Column:
@@ -57,32 +56,31 @@ def is_html(payload: Column, content_type: Column | None) -> Column:
 
 def title_of(html: Column) -> Column:
     """Title text, ``Unknown`` where there is none; entities stay as written."""
-    found = F.regexp_substr(html, F.lit(TITLE_ATOMIC))
+    head = F.regexp_substr(html, F.lit(FROM_HEAD))
+    found = F.when(head.rlike(TITLE_ATOMIC), head)
     clean = F.translate(F.regexp_extract(found, TITLE_ATOMIC, 1), '"\n', "'")
     return F.coalesce(clean, F.lit("Unknown"))
 
 
 def _numeric(name: Column) -> Column:
     """Character named by ``#NNN`` or ``#xHHH``, null for anything else."""
-    is_hex = name.rlike("^#[xX][0-9a-fA-F]{1,6}$")
-    decimal = F.when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7))
-    code = F.when(is_hex, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(decimal).cast("int")
+    hexadecimal = F.regexp_extract(name, "^#[xX]0*([0-9a-fA-F]{1,6})$", 1)
+    decimal = F.regexp_extract(name, "^#0*([0-9]{1,7})$", 1)
+    code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(F.nullif(decimal, F.lit(""))).cast("int")
     valid = F.when(code.between(32, 55295) | code.between(57344, 1114111), code)
     return F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
 
 
 def decode_entities(col: Column) -> Column:
-    """Decode the named entities above and numeric ones, each once.
+    """Decode named and numeric entities, each once.
 
     The text is cut at ampersands, so the work grows with their number.
     """
-    names = F.create_map(*[
-        F.lit(part) for name, char in ENTITIES.items() for part in (name[1:-1], char)
-    ])
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
 
     def decoded(piece: Column, i: Column) -> Column:
-        name = F.regexp_extract(piece, "^([a-zA-Z]{1,8}|#[0-9a-fA-FxX]{1,8});", 1)
-        char = F.coalesce(F.try_element_at(names, name), _numeric(name))
+        name = F.regexp_extract(piece, "^([a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);", 1)
+        char = F.when(F.startswith(name, F.lit("#")), _numeric(name)).when(name != "", F.try_element_at(names, name))
         known = F.concat(char, F.substr(piece, F.length(name) + 2))
         return F.when(i == 0, piece).otherwise(F.coalesce(known, F.concat(F.lit("&"), piece)))
 
@@ -108,10 +106,10 @@ def marked_text(html: Column) -> Column:
     col = F.translate(html, OPEN + CLOSE + "\n", "  " + " ")
     for pattern in SILENT_PATTERNS:
         col = _sub(col, pattern, "")
-    col = _sub(col, r"(?i)<a(?:\s[^>]*)?>", OPEN)
+    col = _sub(col, r"(?i)<a(?:\s[^<>]*)?>", OPEN)
     col = _sub(col, r"(?i)</a\s*>", CLOSE)
-    col = _sub(col, rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^>]*)?>", "\n")
-    col = _sub(col, r"<[/!?a-zA-Z][^>]*>", "")
+    col = _sub(col, rf"(?i)</?(?:{BLOCK_TAGS})(?:[\s/][^<>]*)?>", "\n")
+    col = _sub(col, r"<[/!?a-zA-Z][^<>]*>", "")
     return decode_entities(col)
 
 

@@ -18,11 +18,12 @@ from corpusloom.operators.dedup import dedup_first_seen
 from corpusloom.operators.lookup import BROADCAST_BYTES, lookup
 from corpusloom.staging import stage
 
-# Largest filter, bits per bitmap, tolerated growth in size.
-MAX_BITS = 137_438_953_408
+# Bits per bitmap, and how much larger than the smallest filter one
+# with fewer hash functions may be.
 BLOCK_BITS = 32_768
-GROWTH = 0.2
-BITMAP_BYTES = 4096
+ROW_BYTES = 32
+LARGER = 1.2
+MOST_HASHES = 32
 
 
 class BloomSpec(NamedTuple):
@@ -42,26 +43,22 @@ class BloomSpec(NamedTuple):
         return -(-self.m // self.blocks)
 
 
+def bits_needed(k: int, n: int, p: float) -> float:
+    """Bits with which ``k`` hash functions and ``n`` keys give the rate ``p``."""
+    return -k * n / math.log1p(-(p ** (1 / k)))
+
+
 def bloom_spec(n: int, p: float = 0.01, fast: bool = True) -> BloomSpec:
-    """Size a filter for ``n`` keys at false-positive rate ``p``.
+    """Size a filter for ``n`` keys at false-positive rate ``p``, whatever the size.
 
-    With ``fast`` the number of hash functions is lowered as long as the filter
-    grows by less than a fifth over the smallest one.
+    With ``fast`` it has the fewest hash functions that need at most ``LARGER``
+    times the bits of the smallest filter, else those of the smallest.
     """
     n = max(1, n)
-    ln2 = math.log(2)
-    most = int(MAX_BITS * ln2 * ln2 / -math.log(p))
-    m = MAX_BITS if n >= most else max(1, int(-n * math.log(p) / (ln2 * ln2)))
-    n = min(n, most)
-    k = max(1, int(ln2 * (m // n)))
-    if fast:
-        ceiling = min(MAX_BITS, int(m * (1 + GROWTH)))
-        for fewer in range(k - 1, 0, -1):
-            bits = int(-fewer * n / math.log(1 - p ** (1 / fewer)))
-            if bits >= ceiling:
-                break
-            k, m = fewer, bits
-    return BloomSpec(k, m, n)
+    sizes = {k: bits_needed(k, n, p) for k in range(1, MOST_HASHES + 1)}
+    least = min(sizes.values())
+    k = min(k for k, m in sizes.items() if m <= least * (LARGER if fast else 1))
+    return BloomSpec(k, max(1, int(sizes[k])), n)
 
 
 def _digits(key: Column, start: int, length: int) -> Column:
@@ -124,7 +121,7 @@ def bloom_probe(
     if spec is None:
         return df.withColumn("maybe_seen", F.lit(False))
     probes = df.withColumn("bucket", _block(F.col(key), spec))
-    joined = lookup(probes, bloom.select("bucket", "bitmap"), ["bucket"], BITMAP_BYTES, limit)
+    joined = lookup(probes, bloom.select("bucket", "bitmap"), ["bucket"], ROW_BYTES, limit)
     hit = F.col("bitmap").isNotNull()
     for i in range(spec.k):
         hit = hit & _bit_is_set(F.col("bitmap"), _bit(F.col(key), i, spec))
@@ -139,25 +136,36 @@ def _bit_is_set(bitmap: Column, bit: Column) -> Column:
 
 
 def bloom_merge(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union of two filters of equal ``k`` and ``m``; ``n`` is the sum."""
+    """Union of two filters of equal ``k`` and ``m``; ``n`` is estimated from its fill."""
     one, two = spec_of(a), spec_of(b)
     if one is None or two is None:
         return b if one is None else a
     if (one.k, one.m) != (two.k, two.m):
         raise ValueError("only filters of equal size and hash count can be merged")
     merged = a.select("bucket", "bitmap").unionByName(b.select("bucket", "bitmap"))
-    merged = merged.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    merged = stage(merged.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap")), "bloom-merged")
+    filled = merged.agg(F.sum(F.bitmap_count("bitmap")).alias("bits_set"))
+    n = filled.select(_keys_of_fill(F.col("bits_set"), F.lit(one.k), F.lit(one.m)).alias("n"))
     return merged.select(
-        "bucket", "bitmap",
-        *[F.lit(v).cast("long").alias(c) for c, v in (("k", one.k), ("m", one.m), ("n", one.n + two.n))],
-    )
+        "bucket", "bitmap", F.lit(one.k).cast("long").alias("k"), F.lit(one.m).cast("long").alias("m"), n.scalar().alias("n"))
+
+
+def _keys_of_fill(bits_set: Column, k: Column, m: Column) -> Column:
+    """How many keys set so many bits; for a full filter as many as leave one bit clear."""
+    clear = F.greatest(m - bits_set, F.lit(1)) / m
+    return F.round(-m / k * F.ln(clear)).cast("long")
 
 
 def bloom_stats(bloom: DataFrame) -> DataFrame:
-    """``k, m, n, bits_set, fpp``: fill and expected false-positive rate."""
+    """``k, m, n, bits_set, n_est, fpp`` of a filter.
+
+    ``n`` is what it was made for; ``n_est``, its number of keys, and ``fpp``,
+    its false-positive rate, come from the bits that are set.
+    """
     filled = bloom.groupBy("k", "m", "n").agg(F.sum(F.bitmap_count("bitmap")).alias("bits_set"))
-    fpp = F.pow(1 - F.exp(-F.col("k") * F.col("n") / F.col("m")), F.col("k"))
-    return filled.withColumn("fpp", F.round(fpp, 9))
+    k, m, bits_set = F.col("k"), F.col("m"), F.col("bits_set")
+    fpp = F.pow(F.least(bits_set / m, F.lit(1.0)), k)
+    return filled.withColumns({"n_est": _keys_of_fill(bits_set, k, m), "fpp": F.round(fpp, 9)})
 
 
 def dedup_bloom(
@@ -169,7 +177,8 @@ def dedup_bloom(
     when it is not the first copy here.  New text is lost with probability up
     to the filter's rate.
     """
-    verdicts = bloom_probe(dedup_first_seen(pars, id), bloom, limit=limit)
-    return verdicts.select(
-        id, "par_pos", "key", (F.col("dup") | F.col("maybe_seen")).alias("dup")
-    )
+    verdicts = stage(dedup_first_seen(pars, id), "verdicts")
+    # Only first copies ask the filter: no key is asked for twice, so none is hot.
+    firsts = bloom_probe(verdicts.where(~F.col("dup")), bloom, limit=limit)
+    firsts = firsts.select(id, "par_pos", "key", F.col("maybe_seen").alias("dup"))
+    return firsts.unionByName(verdicts.where("dup"))

@@ -10,9 +10,13 @@ collected.  Joins back run on the evenly spread document key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from corpusloom.functions import text as tx
 
+#: More than any paragraph position.
+POSITIONS = 1 << 32
+
 
 def first_copies(pars: DataFrame, id: str = "doc_id") -> DataFrame:
     """``id, par_pos, key`` of the first copy of every paragraph key.
@@ -22,19 +26,35 @@ def first_copies(pars: DataFrame, id: str = "doc_id") -> DataFrame:
     # Sixteen bytes travel instead of thirty-two digits.
     no_key = F.raise_error(F.lit("paragraph keys must be hexadecimal")).cast("binary")
     packed = F.coalesce(F.unhex("key"), no_key)
+    kind = pars.schema[id].dataType
+    key = F.lower(F.hex("k")).alias("key")
+    if isinstance(kind, IntegralType):
+        # A number as the place: its minimum is a hash aggregate, that of a struct sorts.
+        at = F.col(id).cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(10,0)") + F.col("par_pos")
+        firsts = pars.select(packed.alias("k"), at.cast("decimal(38,0)").alias("at")).groupBy("k").agg(F.min("at").alias("at"))
+        pos = F.pmod("at", F.lit(POSITIONS).cast("decimal(10,0)"))
+        places = firsts.select("k", "at", pos.alias("pos"))
+        return places.select(
+            F.expr(f"(at - pos) div {POSITIONS}").cast(kind).alias(id), F.col("pos").cast("int").alias("par_pos"), key)
     keyed = pars.select(packed.alias("k"), F.struct(id, "par_pos").alias("at"))
     firsts = keyed.groupBy("k").agg(F.min("at").alias("at"))
-    return firsts.select("at.*", F.lower(F.hex("k")).alias("key"))
+    return firsts.select("at.*", key)
 
 
-def dedup_first_seen(pars: DataFrame, id: str = "doc_id") -> DataFrame:
+def dedup_first_seen(pars: DataFrame, id: str = "doc_id", seen: DataFrame | None = None) -> DataFrame:
     """``id, par_pos, key, dup``: a verdict for every copy.
 
+    ``seen`` holds the keys of an earlier corpus in ``key``: every copy of one
+    of them is a repeat.  Both sides of that join have one row per key.
+
     ``pars`` is exchanged once by position; that exchange feeds both the
     minimum and the join, so the tokenization behind it runs once.
     """
     spread = pars.select(id, "par_pos", "key").repartition(id, "par_pos")
-    firsts = first_copies(spread, id).select(id, "par_pos", F.lit(True).alias("first"))
+    firsts = first_copies(spread, id)
+    if seen is not None:
+        firsts = firsts.join(seen.select(F.lower("key").alias("key")).distinct(), "key", "left_anti")
+    firsts = firsts.select(id, "par_pos", F.lit(True).alias("first"))
     joined = spread.join(firsts, [id, "par_pos"], "left")
     return joined.select(id, "par_pos", "key", F.col("first").isNull().alias("dup"))
 
@@ -42,11 +62,11 @@ def dedup_first_seen(pars: DataFrame, id: str = "doc_id") -> DataFrame:
 def dedup_keep_unique(pars: DataFrame, id: str = "doc_id") -> DataFrame:
     """``id, par_pos, par``: the first copies with their text.
 
-    ``pars`` has ``id, par_pos, key, par``.  One exchange; map-side combining
-    drops repeated text before it is sent.
+    ``pars`` has ``id, par_pos, key, par``.  First positions are found from keys
+    alone; the text then moves once, by position.
     """
-    firsts = pars.groupBy("key").agg(F.min(F.struct(id, "par_pos", "par")).alias("first"))
-    return firsts.select("first.*")
+    firsts = first_copies(pars, id).select(id, "par_pos")
+    return pars.select(id, "par_pos", "par").join(firsts, [id, "par_pos"], "left_semi")
 
 
 def dup_stats(verdicts: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -20,7 +20,8 @@ NOT_LETTERS = r"[^\p{L}\p{M}]+"
 # substrings by position would be quadratic.
 WINDOW = r"(?=([\p{L}\p{M} ]{3}))"
 MICRO = 1_000_000
-MAX_LANGUAGES = 1000
+#: Languages up to which a profile has one column for each.
+WIDE_LANGUAGES = 64
 
 
 def clean(text: Column) -> Column:
@@ -62,9 +63,7 @@ def _wide(profile: DataFrame) -> tuple[list[str], dict[str, int], DataFrame]:
     micro = profile.select(
         "lang", "gram", F.round(F.col("logp") * MICRO).cast("long").alias("micro")
     )
-    rows = micro.where(F.col("gram") == "").limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the profile")
+    rows = micro.where(F.col("gram") == "").collect()  # one for each language
     unseen = {row["lang"]: row["micro"] for row in rows}
     langs = sorted(unseen)
     wide = micro.where(F.col("gram") != "").groupBy("gram").pivot("lang", langs).agg(F.min("micro"))
@@ -86,6 +85,8 @@ def langid_predict(
     ``profile`` should be a stored table: it is read for its languages and its
     size.  Ties go to the first language code; a text without letters has none.
     """
+    if profile.where(F.col("gram") == "").limit(WIDE_LANGUAGES + 1).count() > WIDE_LANGUAGES:
+        return _predict_long(df, profile, id, text)
     langs, unseen, wide = _wide(profile)
     found = df.select(id, F.explode_outer(grams(F.col(text))).alias("gram"))
     unknown = [F.coalesce(f"l{i}", F.lit(unseen[lang])) for i, lang in enumerate(langs)]
@@ -107,6 +108,31 @@ def langid_predict(
     )
 
 
+def _predict_long(df: DataFrame, profile: DataFrame, id: str, text: str) -> DataFrame:
+    """``langid_predict`` for any number of languages, which stay rows.
+
+    Every gram takes the unseen value of a language; known ones add the
+    difference to it, so only languages that know a gram of a document meet it.
+    A language that knows none can only win with the best unseen value.
+    """
+    micro = profile.select("lang", "gram", F.round(F.col("logp") * MICRO).cast("long").alias("micro"))
+    base = micro.where(F.col("gram") == "").select("lang", F.col("micro").alias("base"))
+    gain = micro.where(F.col("gram") != "").join(base, "lang").select("gram", "lang", (F.col("micro") - F.col("base")).alias("gain"), "base")
+    found = df.select(id, F.explode_outer(grams(F.col(text))).alias("gram"))
+    counts = found.groupBy(id, "gram").agg(F.count("gram").alias("times"))
+    sizes = counts.groupBy(id).agg(F.sum("times").alias("n"))
+    per_gram = gain.groupBy("gram").agg(F.collect_list(F.struct("lang", "base", "gain")).alias("known"))
+    joined = salted_lookup(counts.where("gram is not null"), per_gram, ["gram"])
+    sums = joined.select(id, "times", F.inline("known")).groupBy(id, "lang", "base").agg(F.sum(F.col("times") * F.col("gain")).alias("gain"))
+    scores = sums.join(sizes, id).select(id, "lang", (F.col("n") * F.col("base") + F.col("gain")).alias("micro"))
+    best_base = base.agg(F.max(F.col("base")).alias("base"))
+    first = base.join(best_base, "base").agg(F.min("lang").alias("lang"), F.first("base").alias("base"))
+    plain = sizes.where("n > 0").select(id, first.select("lang").scalar().alias("lang"), (F.col("n") * first.select("base").scalar()).alias("micro"))
+    ranked = scores.unionByName(plain).groupBy(id).agg(F.max("micro").alias("micro"))
+    picked = scores.unionByName(plain).join(ranked, [id, "micro"]).groupBy(id).agg(F.min("lang").alias("lang"), F.first("micro").alias("micro"))
+    return sizes.select(id).join(picked, id, "left").select(id, "lang", (F.col("micro") / MICRO).alias("score"))
+
+
 def filter_lang(
     df: DataFrame, lang: str = "lang", allowed: tuple[str, ...] = ("en",)
 ) -> DataFrame:

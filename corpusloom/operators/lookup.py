@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
 def fits_broadcast(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """True when ``table`` has at most ``limit / row_bytes`` rows.
+    """True when ``table`` takes at most ``limit`` bytes.
 
-    Counts no further than the bound.  Pass a stored table: its rows are read.
+    A row counts ``row_bytes`` for its fixed part and the bytes of its strings
+    and binaries.  Reads no further than the bound on rows.  Pass a stored
+    table: its rows are read.
     """
     bound = max(1, limit // row_bytes)
-    return table.select(F.lit(1)).limit(bound + 1).count() <= bound
+    long = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields
+            if isinstance(f.dataType, (StringType, BinaryType))]
+    total = sum(long, F.lit(0)).cast("long") + row_bytes
+    sizes = table.select(total.alias("size")).limit(bound + 1).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    n, size = sizes.first()
+    return n <= bound and (size or 0) <= limit
 
 
 def lookup(

@@ -8,6 +8,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 PROFILE_SCHEMA = (
     "deployment_id string, bolt_type string, tuple_uuid string, num_elements bigint, "
@@ -71,16 +72,41 @@ def profile_rows(
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
-def progress_rows(spark: SparkSession, deployment_id: str, query) -> DataFrame:
-    """Profiling rows of a streaming query, one per phase and micro-batch."""
-    host = socket.gethostname()
-    rows = []
-    for progress in query.recentProgress:
-        at = datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        for phase, millis in progress["durationMs"].items():
-            rows.append((deployment_id, phase, str(progress["batchId"]), progress["numInputRows"],
-                         host, at, millis * 1_000_000))
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+class ProgressLog(StreamingQueryListener):
+    """Profiling rows of streaming queries, one per phase and micro-batch.
+
+    A query itself remembers its last hundred batches only; this listener gets
+    every one.  Add it with ``spark.streams.addListener`` before the query
+    starts.  ``rows`` gives what has come in, ``flush`` appends that to a
+    Parquet table and forgets it, which a long run should do now and then.
+    """
+
+    def __init__(self, deployment_id: str | None = None):
+        self.deployment_id = deployment_id or str(uuid.uuid4())
+        self.host, self.seen = socket.gethostname(), []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).replace(tzinfo=None)
+        self.seen += [(self.deployment_id, phase, str(p.batchId), p.numInputRows, self.host, at, millis * 1_000_000)
+                      for phase, millis in p.durationMs.items()]
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.seen), PROFILE_SCHEMA)
+
+    def flush(self, spark: SparkSession, path: str) -> None:
+        taken, self.seen = self.seen, []
+        if taken:
+            write_profile(spark.createDataFrame(taken, PROFILE_SCHEMA), path)
 
 
 def write_profile(df: DataFrame, path: str) -> None:
@@ -101,25 +127,25 @@ def _summary() -> list[Column]:
 
 
 def profile_by_stage(profile: DataFrame) -> DataFrame:
-    """``bolt_type, n, elements, total, avg, max``."""
-    return profile.groupBy("bolt_type").agg(
+    """``deployment_id, bolt_type, n, elements, total, avg, max``."""
+    return profile.groupBy("deployment_id", "bolt_type").agg(
         F.sum("num_elements").alias("elements"), *_summary()
     )
 
 
 def profile_by_host(profile: DataFrame) -> DataFrame:
-    """``hostname, bolt_type, n, total, avg, max``: load per host."""
-    return profile.groupBy("hostname", "bolt_type").agg(*_summary())
+    """``deployment_id, hostname, bolt_type, n, total, avg, max``: load per host."""
+    return profile.groupBy("deployment_id", "hostname", "bolt_type").agg(*_summary())
 
 
 def profile_by_time(profile: DataFrame, width: str = "1 hour") -> DataFrame:
-    """``bucket, bolt_type, n, total, avg, max``: activity per time bucket."""
+    """``bucket, deployment_id, bolt_type, n, total, avg, max``: activity per time bucket."""
     bucket = F.window("timestamp", width)["start"].alias("bucket")
-    return profile.groupBy(bucket, "bolt_type").agg(*_summary())
+    return profile.groupBy(bucket, "deployment_id", "bolt_type").agg(*_summary())
 
 
 def profile_trace(profile: DataFrame) -> DataFrame:
-    """``tuple_uuid, first_seen, last_seen, n, total, avg, max``: one block's way."""
-    return profile.groupBy("tuple_uuid").agg(
+    """``deployment_id, tuple_uuid, first_seen, last_seen, n, total, avg, max``: one block's way."""
+    return profile.groupBy("deployment_id", "tuple_uuid").agg(
         F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"), *_summary()
     )

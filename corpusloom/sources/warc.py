@@ -2,11 +2,15 @@
 
 Two ways to find records, with one schema:
 
-``separator``  the text source cuts at the version line; all work stays in the
-               JVM and it also works under ``readStream``.  A body that holds
-               the exact version line on a line of its own is cut in two.
 ``length``     records are framed by ``Content-Length``, exact for any body;
                one task streams one file and holds one record at a time.
+``separator``  the text source cuts where a version line follows two line ends;
+               all work stays in the JVM and it also works under
+               ``readStream``.  A body that holds this is cut in two, which
+               ``framing`` reports.
+
+Any version of the format is read.  Records without a usable length are handed
+on with ``framing`` ``bad``.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-VERSION_LINE = "WARC/1.0\r\n"
+VERSION = "WARC/"
 GAP = "\r\n\r\n"
 BATCH_BYTES = 16 << 20
 
@@ -29,12 +33,13 @@ def read_manifests(spark: SparkSession, manifests: str, folder: str = "warcfiles
     ``manifests`` lists text files separated by ``;``.  Each names one archive
     per line, found in ``folder`` beside the manifest.
     """
-    paths: list[str] = []
-    for manifest in filter(None, (m.strip() for m in manifests.split(";"))):
-        base = f"{manifest.rsplit('/', 1)[0]}/{folder}/"
-        lines = spark.read.text(manifest).where(F.trim("value") != "")
-        paths += [base + row.value.strip() for row in lines.collect()]
-    return paths
+    named = [m.strip() for m in manifests.split(";") if m.strip()]
+    if not named:
+        return []
+    lines = spark.read.text(named).where(F.trim("value") != "")
+    base = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    rows = lines.select(F.concat(base, F.lit(f"/{folder}/"), F.trim("value")).alias("path"))
+    return sorted(row.path for row in rows.collect())  # one name for each archive
 
 
 def _header(block: Column, name: str) -> Column:
@@ -46,16 +51,19 @@ def parse_records(raw: DataFrame, check: bool = False, warc_type: str | None = N
     """``doc_id, uri, content_type, payload`` of raw records in ``value``.
 
     With ``check`` a column ``framing`` compares ``Content-Length`` with the
-    bytes found: ``ok``, ``mismatch``, or ``unknown`` where decoding replaced
-    bytes.  Any record type passes unless ``warc_type`` names one.
+    bytes found: ``ok``, ``mismatch``, ``bad`` where there is no usable length,
+    or ``unknown`` where decoding replaced bytes.  Any record type passes unless ``warc_type`` names one.
     """
     head = F.substring_index("value", GAP, 1)
     parts = raw.where(F.length("value") > 0).select(
         F.col("file"), F.col("value"), head.alias("head"),
         F.substr("value", F.length(head) + len(GAP) + 1).alias("body"),
     )
+    # The last record of a file keeps the line ends behind it.
+    said = _header(F.col("head"), "Content-Length").try_cast("long")
+    whole = F.coalesce(said == F.octet_length("body"), F.lit(False))
     body = F.when(
-        F.endswith("body", F.lit(GAP)), F.left("body", F.length("body") - len(GAP))
+        F.endswith("body", F.lit(GAP)) & ~whole, F.left("body", F.length("body") - len(GAP))
     ).otherwise(F.col("body"))
     parts = parts.withColumn("body", body)
     if warc_type:
@@ -74,9 +82,8 @@ def parse_records(raw: DataFrame, check: bool = False, warc_type: str | None = N
         F.regexp_replace(payload, "\r\n?", "\n").alias("payload"),
     ]
     if check:
-        said = _header(F.col("head"), "Content-Length").try_cast("long")
         columns.append(
-            F.when(said.isNull() | F.contains("body", F.lit("�")), "unknown")
+            F.when(said.isNull(), "bad").when(F.contains("body", F.lit("�")), "unknown")
             .when(said == F.octet_length("body"), "ok").otherwise("mismatch").alias("framing")
         )
     return parts.select(*columns)
@@ -84,8 +91,11 @@ def parse_records(raw: DataFrame, check: bool = False, warc_type: str | None = N
 
 def separator_records(reader, paths) -> DataFrame:
     """Raw records from ``spark.read`` or ``spark.readStream`` by version line."""
-    raw = reader.option("lineSep", VERSION_LINE).text(paths)
-    return raw.select("value", F.col("_metadata.file_path").alias("file"))
+    raw = reader.option("lineSep", GAP + VERSION).text(paths)
+    # Cut by position: a pattern over the value would replace bytes that are no text.
+    line = F.substring_index("value", "\r\n", 1)
+    rest = F.when(line.rlike(rf"^(?:{VERSION})?[0-9.]+[ \t]*$"), F.substr("value", F.length(line) + 3))
+    return raw.select(F.coalesce(rest, "value").alias("value"), F.col("_metadata.file_path").alias("file"))
 
 
 def _open(path: str):
@@ -98,15 +108,27 @@ def _open(path: str):
 
 def framed(stream) -> Iterator[str]:
     """Decoded records of one archive, cut by ``Content-Length``."""
-    while line := stream.readline():
+    held = b""
+    while line := held or stream.readline():
+        held = b""
         if not line.startswith(b"WARC/"):
             continue
-        head, length = b"", 0
+        head, length = b"", None
         while (line := stream.readline()).strip():
             head += line
             name, _, value = line.partition(b":")
-            if name.strip().lower() == b"content-length":
+            if name.strip().lower() == b"content-length" and value.strip().isdigit():
                 length = int(value)
+        if length is None:
+            # Without a length the record ends where the next one begins.
+            body = b""
+            while line := stream.readline():
+                if line.startswith(b"WARC/") and body.endswith(b"\r\n\r\n"):
+                    break
+                body += line
+            yield (head.rstrip() + b"\r\n\r\n" + body.removesuffix(b"\r\n\r\n") + b"\r\n\r\n").decode("utf-8", "replace")
+            held = line
+            continue
         body = stream.read(length)
         yield (head.rstrip() + b"\r\n\r\n" + body + b"\r\n\r\n").decode("utf-8", "replace")
 
@@ -127,15 +149,22 @@ def _framed_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def length_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Raw records by ``Content-Length``, one task per archive."""
-    files = spark.createDataFrame([(p,) for p in paths], "file string").repartition(len(paths), "file")
+    """Raw records by ``Content-Length``, one task per archive.
+
+    Folders and globs are listed by Spark, whose file systems they may use; the
+    archives themselves are opened by pyarrow.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
+    names = sorted(row.file for row in listed.collect())  # one name for each archive
+    rows = spark.sparkContext.parallelize([(n,) for n in names], max(1, len(names)))
+    files = spark.createDataFrame(rows, "file string")
     return files.mapInPandas(_framed_batches, "value string, file string")
 
 
 def read_warc(
     spark: SparkSession,
     paths: str | list[str],
-    framing: str = "separator",
+    framing: str = "length",
     check: bool = False,
     warc_type: str | None = None,
 ) -> DataFrame:

@@ -3,13 +3,17 @@
 ``stream_first_seen`` keeps keys in the state store and emits first copies.
 ``stream_dedup`` and ``stream_documents`` give a verdict for every copy: inside
 a micro-batch by the exact batch operators, against earlier batches by a table
-of keys seen so far.  Parts of that table and of the output are named by batch
-and overwritten when a batch is replayed, and a batch reads only parts of
-earlier ones, so every batch takes effect exactly once.
+of keys seen so far.  Parts of that table and of the output are named by run and
+batch; a run is one checkpoint.  A part is overwritten when its batch is
+replayed, and a batch reads the parts of earlier batches and of all other runs,
+so every batch takes effect exactly once, also after a start with a new
+checkpoint.  Two runs must not write to one table at the same time.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.dedup import first_copies, keep_paragraphs
@@ -17,7 +21,18 @@ from corpusloom.operators.tokens import paragraph_hash
 from corpusloom.staging import stage
 
 SALTS = 64
-SEEN_SCHEMA = "k binary, batch_id bigint"
+SEEN_SCHEMA = "k binary, run string, batch_id bigint"
+#: Names the part of a table that holds nothing, or what was compacted.
+NO_RUN = "none"
+
+
+def run_of(checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def part(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
 
 
 def stream_first_seen(sdf: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -33,76 +48,79 @@ def stream_first_seen(sdf: DataFrame, id: str = "doc_id", text: str = "text") ->
     return keys.dropDuplicates(["key", "salt"]).select("key").dropDuplicates(["key"])
 
 
-def _before(path: str, batch_id: int, spark: SparkSession, schema) -> DataFrame:
+def _before(path: str, run: str, batch_id: int, spark: SparkSession, schema) -> DataFrame:
+    """What earlier batches of the run, and other runs, have stored."""
     stored = spark.read.schema(schema).option("basePath", path).parquet(path)
-    return stored.where(F.col("batch_id") < batch_id)
+    return stored.where((F.col("run") != run) | (F.col("batch_id") < batch_id))
 
 
 def _open_seen(spark: SparkSession, path: str) -> None:
     """Make the seen table readable before the first batch."""
     empty = spark.createDataFrame([], "k binary")
-    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    empty.write.mode("ignore").parquet(part(path, NO_RUN, -1))
 
 
-def _new_firsts(batch: DataFrame, batch_id: int, seen: str, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _new_firsts(batch: DataFrame, run: str, batch_id: int, seen: str, id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Keys of the batch and its first copies not seen in earlier batches.
 
     The tables of a batch are stored in the place of those of the batch before.
     """
-    spark, work = batch.sparkSession, f"{seen}-work"
+    spark, work = batch.sparkSession, f"{seen}-work/{run}"
     pars = stage(paragraph_hash(batch, id, text), "keys", f"{work}/keys")
     firsts = first_copies(pars, id).withColumn("k", F.unhex("key"))
     firsts = stage(firsts, "firsts", f"{work}/firsts")
     # The seen table only grows: cut it to keys of this batch first.  It is the
     # probe side of that join and need not be shuffled when the batch is small.
-    known = _before(seen, batch_id, spark, SEEN_SCHEMA).select("k")
+    known = _before(seen, run, batch_id, spark, SEEN_SCHEMA).select("k")
     hits = known.join(firsts.select("k"), "k", "left_semi")
     return pars, stage(firsts.join(hits, "k", "left_anti"), "new", f"{work}/new")
 
 
-def _store_seen(new: DataFrame, seen: str, batch_id: int) -> None:
-    new.select("k").write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
+def _store_seen(new: DataFrame, seen: str, run: str, batch_id: int) -> None:
+    new.select("k").write.mode("overwrite").parquet(part(seen, run, batch_id))
 
 
 def compact_seen(spark: SparkSession, seen: str, into: str) -> None:
-    """Copy a seen table to a new path with two parts instead of one per batch.
+    """Copy a seen table to a new path with one part for each run's last batch and one for the rest.
 
-    The last batch stays a part of its own, because it may be replayed.  Run it
-    between runs of the stream and start the next one with the new path.
+    The last batch of a run stays a part of its own, because it may be
+    replayed.  Run it between runs of the stream and start the next with the
+    new path.
     """
-    stored = spark.read.schema(SEEN_SCHEMA).parquet(seen)
-    last = stored.agg(F.max("batch_id")).first()[0]
-    _open_seen(spark, into)
-    if last is None:
-        return
-    for part, rows in ((last - 1, F.col("batch_id") < last), (last, F.col("batch_id") == last)):
-        _store_seen(stored.where(rows), into, part)
+    stored = spark.read.schema(SEEN_SCHEMA).option("basePath", seen).parquet(seen)
+    last = stored.where(F.col("run") != NO_RUN).groupBy("run").agg(F.max("batch_id").alias("last"))
+    marked = stored.join(F.broadcast(last), "run", "left")
+    rest = marked.where("last is null or batch_id < last").select("k").distinct()
+    rest.write.mode("overwrite").parquet(part(into, NO_RUN, -1))
+    ends = marked.where("batch_id = last").select("k", "run", "batch_id")
+    ends.write.mode("append").partitionBy("run", "batch_id").parquet(into)
 
 
-def dedup_batch(batch: DataFrame, batch_id: int, seen: str, out: str, id: str, text: str) -> None:
+def dedup_batch(batch: DataFrame, run: str, batch_id: int, seen: str, out: str, id: str, text: str) -> None:
     """Verdicts of one micro-batch: output first, then the seen keys."""
-    pars, new = _new_firsts(batch, batch_id, seen, id, text)
+    pars, new = _new_firsts(batch, run, batch_id, seen, id, text)
     marks = new.select(id, "par_pos", F.lit(True).alias("first"))
     verdicts = pars.join(marks, [id, "par_pos"], "left").select(
         id, "par_pos", "key", F.col("first").isNull().alias("dup")
     )
-    verdicts.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-    _store_seen(new, seen, batch_id)
+    verdicts.write.mode("overwrite").parquet(part(out, run, batch_id))
+    _store_seen(new, seen, run, batch_id)
 
 
-def documents_batch(batch: DataFrame, batch_id: int, seen: str, out: str, id: str, text: str) -> None:
+def documents_batch(batch: DataFrame, run: str, batch_id: int, seen: str, out: str, id: str, text: str) -> None:
     """Re-assembled documents of one micro-batch."""
-    _, new = _new_firsts(batch, batch_id, seen, id, text)
+    _, new = _new_firsts(batch, run, batch_id, seen, id, text)
     docs = keep_paragraphs(batch.select(id, text), new, id, text)
-    docs.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-    _store_seen(new, seen, batch_id)
+    docs.write.mode("overwrite").parquet(part(out, run, batch_id))
+    _store_seen(new, seen, run, batch_id)
 
 
-def _start(sdf: DataFrame, run, seen: str, out: str, checkpoint: str, id: str, text: str):
+def _start(sdf: DataFrame, work, seen: str, out: str, checkpoint: str, id: str, text: str):
     _open_seen(sdf.sparkSession, seen)
+    run = run_of(checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run(batch, batch_id, seen, out, id, text)
+        work(batch, run, batch_id, seen, out, id, text)
 
     return (
         sdf.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,10 +24,15 @@ def built(keys):
 def test_sizes():
     assert bloom.bloom_spec(300_000_000, 0.01) == (4, 3_156_811_385, 300_000_000)
     assert bloom.bloom_spec(20_000, 0.01) == (4, 210_454, 20_000)
-    assert bloom.bloom_spec(20_000, 0.01, fast=False).k == 6
+    assert bloom.bloom_spec(20_000, 0.01, fast=False).k == 7
     assert bloom.bloom_spec(0).m >= 1
-    assert bloom.bloom_spec(10**15).m == bloom.MAX_BITS
-    assert bloom.bloom_spec(10**15).n < 10**15
+
+
+@pytest.mark.parametrize("n", [10**6, 10**12, 10**15])
+@pytest.mark.parametrize("p", [0.1, 0.01, 1e-6])
+def test_rate_holds_at_any_size(n, p):
+    k, m, kept = bloom.bloom_spec(n, p)
+    assert kept == n and abs((1 - math.exp(-k * n / m)) ** k / p - 1) < 0.1
 
 
 def test_no_false_negatives(keys, built):
@@ -61,6 +68,22 @@ def test_merge_equals_common_build(keys):
     assert rows(bloom.bloom_merge(a, b), "bucket", "bitmap") == rows(both, "bucket", "bitmap")
 
 
+def _measured(keys, built):
+    return bloom.bloom_probe(keys(10**6, 10**6 + 40_000), built).where("maybe_seen").count() / 40_000
+
+
+def test_statistics_follow_the_fill(keys):
+    """After a merge of halves, and when far more keys came than were declared."""
+    halves = [stage(bloom.bloom_build(keys(a, a + 10_000), n=20_000), "half") for a in (0, 10_000)]
+    merged = stage(bloom.bloom_merge(*halves), "merged")
+    assert abs(merged.first().n - 20_000) < 400
+    over = stage(bloom.bloom_build(keys(0, 30_000), n=10_000), "over")
+    for one in (merged, over):
+        rate, told = _measured(keys, one), bloom.bloom_stats(one).first()
+        assert abs(told.fpp - rate) < 0.1 * rate + 0.001
+    assert abs(bloom.bloom_stats(over).first().n_est - 30_000) < 1500
+
+
 def test_merge_needs_equal_filters(keys, built):
     other = stage(bloom.bloom_build(keys(0, 10)), "other")
     with pytest.raises(ValueError):
@@ -69,6 +92,7 @@ def test_merge_needs_equal_filters(keys, built):
 
 def test_stats(built):
     got = bloom.bloom_stats(built).first()
+    assert abs(got.n_est - 20_000) < 400
     assert got.k == 4 and got.n == 20_000 and 0.3 < got.bits_set / got.m < 0.5 and 0.005 < got.fpp < 0.02
 
 

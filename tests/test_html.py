@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from corpusloom.functions import html as hx
 from corpusloom.operators import html
 from pyspark.sql import functions as F
@@ -44,12 +48,30 @@ def test_blocks_drop_silent_elements_and_tags(spark):
 def test_unclosed_silent_elements_run_to_the_end(spark):
     assert texts(spark, "<p>a<script>b <p>c") == ["a"]
     assert texts(spark, "<p>a<!-- b <p>c") == ["a"]
-    assert texts(spark, "<html><head><title>t</title><body><p>a") == ["t", "a"]
+    assert texts(spark, "<html><head><title>t</title><body><p>a") == ["a"]
+    assert texts(spark, "<p>a<svg><p>b") == texts(spark, "<p>a<noscript><p>b") == texts(spark, "<p>a<head><p>b") == ["a"]
+
+
+@pytest.mark.parametrize("unit", ["<svg>", "<noscript>", "<template>", "<head>", "<a ", "<b ", "<p ", "<script ", "<!--", "</a", "&amp"])
+def test_linear_in_broken_pages(spark, unit):
+    page = pages(spark, "<p>a</p>" + unit * (1_000_000 // len(unit)))
+    both = html.extract_title(page).join(html.html_blocks(page), "page_id", "left")
+    start = time.monotonic()
+    assert both.select("title").first().title == "Unknown"
+    assert html.html_blocks(page).select("txt").first().txt == "a"
+    assert time.monotonic() - start < 6  # two runs on a busy machine; it took minutes
+
+
+def test_title_is_linear_and_only_the_first_head_counts(spark):
+    page = pages(spark, "<head>" * 100_000, "<head>" * 1000 + "<title>x</title>" + "<head>" * 100_000 + "</head>")
+    start = time.monotonic()
+    assert [r.title for r in html.extract_title(page).orderBy("page_id").collect()] == ["Unknown", "x"]
+    assert time.monotonic() - start < 4
 
 
 def test_entities(spark):
-    page = "a &lt;b&gt; &amp;lt; &#233;&#xE9; &nbsp;x &bogus; & &#0; &#99999999; &AMP"
-    assert texts(spark, page) == ["a <b> &lt; éé x &bogus; & &#0; &#99999999; &AMP"]
+    page = "a &lt;b&gt; &amp;lt; &#233;&#xE9; &nbsp;x &bogus; & &#0; &#99999999; &AMP &aacute;&Oslash; &rarr; &frac12; &#0000000039;"
+    assert texts(spark, page) == ["a <b> &lt; éé x &bogus; & &#0; &#99999999; &AMP áØ → ½ '"]
 
 
 def test_newlines_are_blanks(spark):

@@ -1,4 +1,5 @@
 import glob
+import time
 
 from pyspark.sql import functions as F
 
@@ -31,12 +32,21 @@ def test_observed_rows(spark, tmp_path):
 
 
 def test_stream_progress_rows(spark, tmp_path):
-    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    spark.range(0, 120, 1, 120).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    log = profile.ProgressLog("d")
+    spark.streams.addListener(log)
     run = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     run.awaitTermination()
-    got = profile.progress_rows(spark, "d", run)
-    assert got.where("bolt_type = 'addBatch' and num_elements = 5 and tuple_uuid = '0'").count() == 1
+    for _ in range(100):
+        if len({row[2] for row in log.seen}) >= 120:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(log)
+    got = log.rows(spark).where("bolt_type = 'addBatch' and num_elements = 1")
+    assert len(run.recentProgress) < 120 <= got.select("tuple_uuid").distinct().count()
+    log.flush(spark, str(tmp_path / "p"))
+    assert not log.seen and spark.read.parquet(str(tmp_path / "p")).where("bolt_type = 'addBatch'").count() >= 120
 
 
 def test_files_roll_over(spark, tmp_path):
@@ -57,6 +67,18 @@ def test_salted_lookup_equals_plain_join(spark):
         assert rows(lookup.lookup(facts, table, ["k"], 16, limit), "id", "k", "v") == plain
 
 
+def test_size_check_counts_bytes(spark):
+    long = spark.createDataFrame([("x" * 1000,)], "form string")
+    assert lookup.fits_broadcast(long, 16, 2000) and not lookup.fits_broadcast(long, 16, 1000)
+
+
+def test_reports_keep_deployments_apart(spark):
+    rows_ = [(d, "s", "b", 1, "h", None, 5) for d in ("d1", "d2", "d2")]
+    table = spark.createDataFrame(rows_, profile.PROFILE_SCHEMA)
+    assert rows(profile.profile_by_stage(table), "deployment_id", "n") == [("d1", 1), ("d2", 2)]
+    assert rows(profile.profile_trace(table), "deployment_id", "tuple_uuid", "n") == [("d1", "b", 1), ("d2", "b", 2)]
+
+
 def test_size_check_reads_no_further_than_the_bound(spark):
     assert lookup.fits_broadcast(spark.range(10), 1, 10)
     assert not lookup.fits_broadcast(spark.range(11), 1, 10)

@@ -34,15 +34,15 @@ def folders(spark, tmp_path):
 
 def test_batches_equal_the_whole(spark, batches, folders):
     for n, batch in enumerate(batches):
-        streaming.dedup_batch(batch, n, *folders, "doc_id", "text")
-    got = spark.read.schema(VERDICTS).parquet(folders[1]).drop("batch_id")
+        streaming.dedup_batch(batch, "r1", n, *folders, "doc_id", "text")
+    got = spark.read.schema(VERDICTS).parquet(folders[1]).drop("run", "batch_id")
     assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
 
 
 def test_replayed_batches_change_nothing(spark, batches, folders):
     for n in (0, 1, 1, 0, 2, 2, 3):
-        streaming.dedup_batch(batches[n], n, *folders, "doc_id", "text")
-    got = spark.read.schema(VERDICTS).parquet(folders[1]).drop("batch_id")
+        streaming.dedup_batch(batches[n], "r1", n, *folders, "doc_id", "text")
+    got = spark.read.schema(VERDICTS).parquet(folders[1]).drop("run", "batch_id")
     assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
 
 
@@ -50,19 +50,28 @@ def test_compacted_table_goes_on(spark, batches, folders, tmp_path):
     seen, out = folders
     compact = str(tmp_path / "compact")
     for n in (0, 1, 2):
-        streaming.dedup_batch(batches[n], n, seen, out, "doc_id", "text")
+        streaming.dedup_batch(batches[n], "r1", n, seen, out, "doc_id", "text")
     streaming.compact_seen(spark, seen, compact)
     for n in (2, 3):
-        streaming.dedup_batch(batches[n], n, compact, out, "doc_id", "text")
-    got = spark.read.schema(VERDICTS).parquet(out).drop("batch_id")
+        streaming.dedup_batch(batches[n], "r1", n, compact, out, "doc_id", "text")
+    got = spark.read.schema(VERDICTS).parquet(out).drop("run", "batch_id")
+    assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
+
+
+def test_a_new_checkpoint_goes_on(spark, batches, folders):
+    """A second run starts again at batch 0; nothing of the first is lost or seen anew."""
+    for run, n in (("r1", 0), ("r1", 1), ("r2", 0), ("r2", 0), ("r2", 1)):
+        batch = batches[n if run == "r1" else n + 2]
+        streaming.dedup_batch(batch, run, n, *folders, "doc_id", "text")
+    got = spark.read.schema(VERDICTS).parquet(folders[1]).drop("run", "batch_id")
     assert rows(got) == rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
 
 
 def test_documents(spark, batches, folders):
     for n, batch in enumerate(batches):
-        streaming.documents_batch(batch, n, *folders, "doc_id", "text")
+        streaming.documents_batch(batch, "r1", n, *folders, "doc_id", "text")
     got = spark.read.schema("doc_id bigint, text string, n_par int, n_dup int").parquet(folders[1])
-    assert rows(got.drop("batch_id")) == rows(corpus.deduplicate(whole(batches)))
+    assert rows(got.drop("run", "batch_id")) == rows(corpus.deduplicate(whole(batches)))
 
 
 def test_running_queries(spark, batches, tmp_path):
@@ -83,6 +92,9 @@ def test_running_queries(spark, batches, tmp_path):
             streaming.stream_dedup(stream(), seen, out, cp).awaitTermination()
             keys()
     want = rows(dedup.dedup_first_seen(tokens.paragraph_hash(whole(batches))))
-    got = spark.read.schema(VERDICTS).parquet(out).drop("batch_id")
+    got = spark.read.schema(VERDICTS).parquet(out).drop("run", "batch_id")
     assert rows(got) == want
+    streaming.stream_dedup(stream(), seen, out + "2", cp + "2").awaitTermination()
+    again = spark.read.schema(VERDICTS).parquet(out + "2")
+    assert again.count() == len(want) and again.where("not dup").count() == 0
     assert rows(spark.read.schema("key string").parquet(out + "k")) == sorted({(v[2],) for v in want})

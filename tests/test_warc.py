@@ -61,13 +61,38 @@ def test_record_type_filter(spark, archives):
 
 
 def test_body_with_the_exact_separator(spark, tmp_path):
-    path = write(tmp_path / "s.warc.gz", record(b"a\r\nWARC/1.0\r\nb", rid="x"), record(b"c", rid="y"))
+    path = write(tmp_path / "s.warc.gz", record(b"a\r\n\r\nWARC/1.0\r\nb", rid="x"), record(b"c", rid="y"))
     exact = warc.read_warc(spark, path, "length")
-    assert rows(exact, "doc_id", "payload") == [("x", "a\nWARC/1.0\nb"), ("y", "c")]
-    cut = warc.read_warc(spark, path, check=True)
+    assert rows(exact, "doc_id", "payload") == [("x", "a\n\nWARC/1.0\nb"), ("y", "c")]
+    cut = warc.read_warc(spark, path, "separator", check=True)
     assert "mismatch" in {r[0] for r in rows(cut, "framing")}
 
 
+@pytest.mark.parametrize("framing", ["separator", "length"])
+def test_versions_mix(spark, tmp_path, framing):
+    new = record(b"b", rid="b").replace(b"WARC/1.0", b"WARC/1.1")
+    path = write(tmp_path / "v.warc.gz", new, record(b"a", rid="a"), new.replace(b":b>", b":c>"), record(b"d", rid="d"))
+    got = rows(warc.read_warc(spark, path, framing, check=True), "doc_id", "payload", "framing")
+    assert got == [("a", "a", "ok"), ("b", "b", "ok"), ("c", "b", "ok"), ("d", "d", "ok")]
+
+
+@pytest.mark.parametrize("framing", ["separator", "length"])
+def test_records_without_a_length_are_kept(spark, tmp_path, framing):
+    none = record(b"x\r\ny", rid="n", http=None).replace(b"Content-Length: 4\r\n", b"")
+    odd = record(b"z", rid="o", http=None, length="many")
+    path = write(tmp_path / "l.warc.gz", none, odd, record(b"a", rid="a"))
+    got = rows(warc.read_warc(spark, path, framing, check=True), "doc_id", "payload", "framing")
+    assert got == [("a", "a", "ok"), ("n", "x\ny", "bad"), ("o", "z", "bad")]
+
+
+def test_folders_and_globs(spark, tmp_path):
+    for name in ("a", "b"):
+        write(tmp_path / f"{name}.warc.gz", record(name.encode(), rid=name))
+    for path in (str(tmp_path), f"{tmp_path}/*.warc.gz"):
+        df = warc.read_warc(spark, path)
+        assert rows(df, "doc_id") == [("a",), ("b",)] and df.rdd.getNumPartitions() == 2
+
+
 def test_missing_id_is_stable(spark, tmp_path):
     path = write(tmp_path / "n.warc.gz", record(b"a", rid=None), record(b"b", rid=None))
     ids = rows(warc.read_warc(spark, path), "doc_id")
@@ -89,7 +114,7 @@ def test_stream(spark, archives, tmp_path):
     df = warc.read_warc_stream(spark, f"{tmp_path}/*.warc.gz")
     run = df.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
     run.trigger(availableNow=True).start(out).awaitTermination()
-    assert rows(spark.read.parquet(out)) == rows(warc.read_warc(spark, archives))
+    assert rows(spark.read.parquet(out)) == rows(warc.read_warc(spark, archives, "separator"))
 
 
 def test_unknown_framing(spark):
