@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.llm.sampling import hashed_sample
+
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
 FIT_DOCS, FIT_REGIONS, EPOCHS = 1500, 250, 60
@@ -391,7 +393,7 @@ def mask(text: str, spans: list) -> str:
 def fit_field(docs: DataFrame, n: int = FIT_DOCS) -> Field:
     """Trained on ``n`` texts with triggers at most, spread by a hash of the id."""
     rows = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@=]"))
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(n).select("text").toArrow()
+    sample = hashed_sample(rows, n, "text").toArrow()
     return train(sample.column("text").to_pylist())
 
 

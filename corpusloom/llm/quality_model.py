@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.llm.arrays import Texts, slices
 from corpusloom.llm.logit import fit
 from corpusloom.llm.quality_rules import n_dup_lines, n_lines, n_repeat_words, n_words, word_chars
+from corpusloom.llm.sampling import hashed_sample
 from corpusloom.operators.lookup import lookup
 from corpusloom.staging import stage
 
@@ -66,7 +67,7 @@ def _labels(labels: DataFrame, label: str) -> DataFrame:
 
 def fit_evidence(rows: DataFrame, labels: DataFrame, n: int = FIT_ROWS) -> np.ndarray:
     """Weights of the document model from ``n`` labelled rows at most, spread by a hash of the id."""
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    chosen = hashed_sample(labels, n, "doc_id", "y")
     sample = rows.select("doc_id", "x").join(F.broadcast(chosen), "doc_id").toPandas()
     sample = sample.sort_values("doc_id").drop_duplicates("doc_id")
     x = np.array(sample["x"].tolist(), float).reshape(len(sample), N_FEATURES)

@@ -19,9 +19,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from corpusloom.llm.arrays import Texts, mix, slices, texts_of
+from corpusloom.llm.sampling import hashed_sample
 
 SAMPLE = 2000
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -168,7 +169,7 @@ def passes(texts: Texts, rules: tuple[Rule, ...], alive: np.ndarray) -> np.ndarr
 
 def _sample(docs: DataFrame) -> Texts:
     """At most ``SAMPLE`` whole texts, spread over the table by a hash; collected to time the rules."""
-    rows = docs.select("text").where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toArrow()
+    rows = hashed_sample(docs.select("doc_id", "text").where("text is not null"), SAMPLE, "text").toArrow()
     return texts_of(rows.column("text"))
 
 

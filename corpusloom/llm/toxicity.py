@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.llm.arrays import Texts, mix, slices
 from corpusloom.llm.logit import fit
+from corpusloom.llm.sampling import hashed_sample
 
 FIT_ROWS = 20_000
 #: Uses with different neighbours that a learned term needs, and their least share in toxic documents.
@@ -263,7 +264,7 @@ class ToxicityModel:
         and the prior weights stand.
         """
         rows = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+        chosen = hashed_sample(rows, fit_rows, "doc_id", "toxic")
         sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
         terms = sorted({*INSULTS, *learn_terms(sample)})
         seen = sample.select("toxic", "text").mapInArrow(partial(_hit_features, terms=terms), "toxic boolean, x array<double>").toPandas()
