@@ -327,6 +327,9 @@ CLEAN_ANNOTATED = f"{CLEAN}, {AGAIN}, {MARKED}, {LEX_TOKENS}, {LEXICON}, {annota
 ORACLES: dict[str, str] = {
     "corpus_vertical": f"""with {CLEAN_ANNOTATED}, {LINES} select id as doc_id,
         string_agg(line || {NL}, '' order by line_pos) as vertical from lines group by id""",
+    "stream_corpus": f"""with {CLEAN_ANNOTATED}, {LINES},
+        _w as (select line from lines union all select '' from (select distinct id from lines))
+        select line, count(*) as n from _w group by line""",
     "corpus_conll": f"""with {CLEAN_ANNOTATED}, {CONLL},
         _sn as (select id, par_pos, sent_pos, string_agg(line || {NL}, '' order by tok_pos) || {NL} as s
                 from rows group by all)

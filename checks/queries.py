@@ -14,6 +14,7 @@ from corpusloom.sources import sinks, warc
 from corpusloom.sources.tables import read_table
 from corpusloom.staging import new_path, stage
 from corpusloom.streaming import dedup as streaming
+from corpusloom.streaming.corpus import stream_corpus as start_corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,8 +104,8 @@ def events_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sources, HTML
 
-def write_page_archives(spark: SparkSession, sf: str) -> str:
-    """The page table as gzipped WARC archives; returns their folder."""
+def write_archives(records: DataFrame, path: str) -> None:
+    """``page_id, url, html`` as gzipped WARC archives in a folder."""
     body = F.concat(F.lit(f"HTTP/1.1 200 OK\r\nContent-Type: {MEDIA_TYPE}\r\n\r\n"), F.col("html"))
     record = F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.col("url"),
@@ -112,9 +113,14 @@ def write_page_archives(spark: SparkSession, sf: str) -> str:
         F.lit(">\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(body), F.lit("\r\n\r\n"), body,
     )
-    path = new_path(spark, "archives")
-    writer = pages(spark, sf).select(record.alias("value")).write.option("compression", "gzip")
+    writer = records.select(record.alias("value")).write.option("compression", "gzip")
     writer.option("lineSep", "\r\n\r\n").text(path)
+
+
+def write_page_archives(spark: SparkSession, sf: str) -> str:
+    """The page table as archives; returns their folder."""
+    path = new_path(spark, "archives")
+    write_archives(pages(spark, sf), path)
     return path
 
 
@@ -448,19 +454,43 @@ def profile_trace(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
+def in_order(df: DataFrame, id: str) -> list[DataFrame]:
+    """Equal ranges of ids, one for each micro-batch."""
+    low, high = df.agg(F.min(id), F.max(id)).first()
+    step = (high - low) // MICRO_BATCHES + 1
+    starts = [low + n * step for n in range(MICRO_BATCHES)]
+    return [df.where((F.col(id) >= start) & (F.col(id) < start + step)) for start in starts]
+
+
 def document_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream of files in the order of their ids."""
     docs = documents(spark, sf)
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    step = (high - low) // MICRO_BATCHES + 1
     folder = new_path(spark, "stream")
-    for part in range(MICRO_BATCHES):
-        start = low + part * step
-        chunk = docs.where((F.col("doc_id") >= start) & (F.col("doc_id") < start + step))
+    for chunk in in_order(docs, "doc_id"):
         chunk.coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
+@query
+def stream_corpus(spark, sf):
+    """Archives to vertical text in three micro-batches, the last under a new checkpoint; lines with their number."""
+    profile_, lexicon_ = profile_of_documents(spark, sf), lexicon(spark, sf)
+    seen, out = new_path(spark, "seen"), new_path(spark, "vertical")
+    table = pages(spark, sf).withColumn("page_id", F.col("page_id").cast("long"))
+    folders = [new_path(spark, "archives"), new_path(spark, "archives")]
+    checkpoints = [new_path(spark, "checkpoint"), new_path(spark, "checkpoint")]
+    for n, chunk in enumerate(in_order(table, "page_id")):
+        run = int(n == MICRO_BATCHES - 1)
+        # Ids of one width, whose order as text is that of the numbers.
+        padded = chunk.withColumn("page_id", F.lpad(F.col("page_id").cast("string"), 12, "0"))
+        write_archives(padded, f"{folders[run]}/{n}")
+        records = warc.read_warc_stream(spark, f"{folders[run]}/*")
+        start_corpus(records, profile_, lexicon_, seen, out, checkpoints[run]).awaitTermination()
+    lines = spark.read.option("lineSep", "\n").text(out)
+    line = F.regexp_replace("value", r'^(.*<doc id=")page-0*([0-9])', "$1$2")
+    return lines.groupBy(line.alias("line")).agg(F.count("*").alias("n"))
+
+
 @query
 def stream_first_seen(spark, sf):
     firsts = streaming.stream_first_seen(document_stream(spark, sf))
