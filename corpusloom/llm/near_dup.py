@@ -6,6 +6,8 @@
 3. Bands of minima put classes into buckets.  In each bucket all members are
    compared with the member that shares most buckets with others: first by
    their signatures, then on full sets.  Components follow.
+   Buckets with the same centre, as a large group of near copies has in every
+   band, count as one.
 4. What is left are pairs with one centre whose components differ.  They are all
    compared, but for those that counts rule out.  A shingle that no other
    contested document has is in no intersection.  Of the others, those inside
