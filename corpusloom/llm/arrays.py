@@ -116,15 +116,17 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(data[offsets[0]:offsets[-1]], offsets - offsets[0])
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Each batch in slices of about ``SLICE_BYTES`` of text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES,
+) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Each batch in slices of about ``size`` bytes of text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         all_texts = texts_of(batch.column(batch.schema.get_field_index(text)))
         begin = 0
         while begin < batch.num_rows:
-            limit = all_texts.bounds[begin] + SLICE_BYTES
+            limit = all_texts.bounds[begin] + size
             end = max(begin + 1, int(np.searchsorted(all_texts.bounds, limit, "right")) - 1)
             low, high = all_texts.bounds[begin], all_texts.bounds[end]
             yield batch.slice(begin, end - begin), Texts(all_texts.data[low:high], all_texts.bounds[begin:end + 1] - low)

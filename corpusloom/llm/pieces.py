@@ -26,11 +26,15 @@ from corpusloom.llm.arrays import Texts, binaries, mix, slices
 from corpusloom.llm.units import UnitIds
 
 SPACE = "▁"
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 600_000
 #: Characters that one step of the search holds at most.
 BATCH_CHARS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FAR = np.int64(1) << 40
+#: Bytes of text encoded at a time: the more, the more words advance together.
+SLICE_BYTES = 2 << 20
+#: Bits of a hash that tell at once that no piece has it.
+_SIEVE_BITS = np.uint64(20)
 #: Score of a character without a piece, below every piece's.
 UNKNOWN = 10.0
 
@@ -63,6 +67,8 @@ class PieceTable:
         keys = self._key(self.raw, self.length)
         order = np.argsort(keys)
         self.keys = keys[order]
+        self.sieve = np.zeros(1 << int(_SIEVE_BITS), bool)
+        self.sieve[keys >> (np.uint64(64) - _SIEVE_BITS)] = True
         self.at = order  # place of a piece by its place among the sorted keys
         self.ids = np.array([r[2] for r in rows], np.int64)
         self.score = np.array([r[1] for r in rows])
@@ -83,11 +89,14 @@ class PieceTable:
 
     def find(self, raw: np.ndarray, length) -> np.ndarray:
         """Places of the pieces with these hashes and lengths, -1 where there is none."""
-        if not len(self.keys):
-            return np.full(raw.shape, -1)
         keys = self._key(raw, length)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.at[at], -1)
+        out = np.full(len(keys), -1)
+        likely = np.flatnonzero(self.sieve[keys >> (np.uint64(64) - _SIEVE_BITS)])
+        if len(likely):
+            keys = keys[likely]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            out[likely] = np.where(self.keys[at] == keys, self.at[at], -1)
+        return out
 
     def _merges(self, texts: list[str]) -> None:
         """Ranks, and the two parts from which BPE makes each piece last."""
@@ -150,24 +159,25 @@ class PieceTable:
         taken = np.zeros((size + 1, n), np.int64)
         rows = np.arange(n)
         for j in range(1, size + 1):
-            for k in range(1, min(self.longest, j) + 1):
-                piece = self.find(prefix[j] - prefix[j - k] * self.power[k], k)
-                if k == 1:
-                    use = rows
-                elif self.bpe:
-                    use = np.flatnonzero((piece >= 0) & self.made[piece])
-                else:
-                    use = np.flatnonzero(piece >= 0)
+            open_ = rows
+            # The longest first: BPE leaves one way to each end, so words that have it are done.
+            for k in range(min(self.longest, j), 0, -1):
+                piece = self.find(prefix[j, open_] - prefix[j - k, open_] * self.power[k], k)
+                use = np.flatnonzero(piece >= 0) if k > 1 else np.arange(len(open_))
+                if self.bpe and k > 1 and len(use):
+                    use = use[self.made[piece[use]]]
+                    use = use[self.beside(last[j - k, open_[use]], piece[use])]
                 if not len(use):
                     continue
-                piece, before = piece[use], last[j - k, use]
-                gain = np.where(piece >= 0, np.maximum(self.score[piece], 2 * self.least), self.least)
-                value = best[j - k, use] + gain
+                at, piece = open_[use], piece[use]
+                value = best[j - k, at] + np.where(piece >= 0, np.maximum(self.score[piece], 2 * self.least), self.least)
+                better = value > best[j, at]
+                chosen = at[better]
+                best[j, chosen], last[j, chosen], taken[j, chosen] = value[better], piece[better], k
                 if self.bpe:
-                    value[~self.beside(before, piece)] = -np.inf
-                better = value > best[j, use]
-                at = use[better]
-                best[j, at], last[j, at], taken[j, at] = value[better], piece[better], k
+                    open_ = np.delete(open_, use)
+                    if not len(open_):
+                        break
         out = np.zeros((n, size), np.int64)
         end = np.full(n, size)
         while (going := np.flatnonzero(end > 0)).size:
@@ -299,7 +309,7 @@ def codec(path: str) -> PieceCodec:
 
 
 def _encoded(batches, path: str):
-    for batch, texts in slices(batches):
+    for batch, texts in slices(batches, size=SLICE_BYTES):
         ids, bounds = codec(path).encode(texts)
         yield pa.RecordBatch.from_arrays([*batch.columns, binaries(ids, bounds)], [*batch.schema.names, "ids"])
 
