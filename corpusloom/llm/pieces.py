@@ -33,6 +33,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FAR = np.int64(1) << 40
 #: Bytes of text encoded at a time: the more, the more words advance together.
 SLICE_BYTES = 2 << 20
+DECODE_ROWS = 512
 #: Bits of a hash that tell at once that no piece has it.
 _SIEVE_BITS = np.uint64(20)
 #: Score of a character without a piece, below every piece's.
@@ -315,11 +316,13 @@ def _encoded(batches, path: str):
 
 
 def _decoded(batches, path: str):
-    for batch in batches:
-        at = batch.schema.get_field_index("ids")
-        texts = [None if not v.is_valid else codec(path).decode(np.frombuffer(v.as_buffer(), np.uint32).astype(np.int64))
-                 for v in batch.column(at)]
-        yield batch.append_column("decoded", pa.array(texts, pa.string()))
+    for whole in batches:
+        at = whole.schema.get_field_index("ids")
+        for begin in range(0, whole.num_rows, DECODE_ROWS):
+            batch = whole.slice(begin, DECODE_ROWS)
+            texts = [None if not v.is_valid else codec(path).decode(np.frombuffer(v.as_buffer(), np.uint32).astype(np.int64))
+                     for v in batch.column(at)]
+            yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
 
 def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
