@@ -6,8 +6,12 @@ share of the host's pages.  Trust follows the links of a seed; distrust follows
 them backwards, to the hosts that link to it (Gyöngyi et al., VLDB 2004; spam
 mass, VLDB 2006).  Both are personalised PageRanks; divided by the plain
 PageRank of the same direction they are shares of a host's rank that come from
-seeds, comparable between hosts of any size.  A host is blocked when its share of
-distrust reaches ``threshold`` and exceeds its share of trust.
+seeds, comparable between hosts of any size.  Of a host's own rank, the part of its
+unruled pages says nothing about it: for verdicts that part counts as the mean of
+the host's links, not as free of distrust, so that a host whose links all lead to
+distrusted hosts is distrusted whatever their numbers of links.  A host is blocked
+when its share of distrust, taken so, reaches ``threshold`` and exceeds its share
+of trust.
 
 DataFrame functions only.  Pages are counted per host before anything is
 shuffled, a link between two hosts counts once, and every round is one join and
@@ -79,7 +83,12 @@ def _arcs(links: DataFrame) -> DataFrame:
 
 
 def host_scores(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``host, trust, distrust``: shares of a host's rank that come from trusted and from blocked seeds.
+    """``host, trust, distrust, distrusted``: shares of a host's rank that come from trusted and from blocked seeds.
+
+    ``distrusted`` is the share of distrust when the part of a host's own rank
+    that no seed weight covers counts as the mean of its links.  It is never
+    less than ``distrust``; a host without weights has the mean of its links,
+    a host without links its weight.
 
     ``seeds``: ``host, good, bad`` with weights from 0 to 1, one row a host.
     ``links``: ``src, dst``.  Hosts that are only linked to have no seed weight.
@@ -88,7 +97,8 @@ def host_scores(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, dampin
     nodes = linked.join(seeds, "host", "full").select(
         "host", F.coalesce("good", F.lit(0.0)).alias("good"), F.coalesce("bad", F.lit(0.0)).alias("bad"))
     nodes = stage(nodes, "hosts")
-    start = nodes.select("host", F.col("good").alias("t"), F.lit(1.0).alias("p"), F.col("bad").alias("d"), F.lit(1.0).alias("r"))
+    start = nodes.select("host", F.col("good").alias("t"), F.lit(1.0).alias("p"), F.col("bad").alias("d"), F.lit(1.0).alias("r"),
+                         F.col("bad").alias("u"))
     arcs = stage(_arcs(links), "arcs")
     ranks = start
     if not arcs.isEmpty():  # without links every rank is its seed
@@ -96,14 +106,19 @@ def host_scores(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, dampin
         for _ in range(rounds):
             moved = arcs.join(ranks, F.col("from") == F.col("host")).groupBy("to").agg(
                 F.sum(F.col("t") * F.col("forward")).alias("mt"), F.sum(F.col("p") * F.col("forward")).alias("mp"),
-                F.sum(F.col("d") * F.col("backward")).alias("md"), F.sum(F.col("r") * F.col("backward")).alias("mr"))
+                F.sum(F.col("d") * F.col("backward")).alias("md"), F.sum(F.col("r") * F.col("backward")).alias("mr"),
+                F.sum(F.col("u") * F.col("backward")).alias("mu"))
             new = nodes.join(moved, F.col("host") == F.col("to"), "left")
+            of_links = F.when(F.col("mr") > 0, F.col("mu") / F.col("mr")).otherwise(0.0)
+            unruled = F.greatest(1 - F.col("good") - F.col("bad"), F.lit(0.0))
             ranks = stage(new.select("host", *(
                 (F.lit(base) * seed + F.lit(damping) * F.coalesce(F.col(sent), F.lit(0.0))).alias(name)
                 for name, seed, sent in (("t", F.col("good"), "mt"), ("p", F.lit(1.0), "mp"),
-                                         ("d", F.col("bad"), "md"), ("r", F.lit(1.0), "mr")))), "ranks")
+                                         ("d", F.col("bad"), "md"), ("r", F.lit(1.0), "mr"),
+                                         ("u", F.col("bad") + unruled * of_links, "mu")))), "ranks")
     # Rounded, so that the order of sums cannot turn a verdict.
-    return ranks.select("host", F.round(F.col("t") / F.col("p"), 9).alias("trust"), F.round(F.col("d") / F.col("r"), 9).alias("distrust"))
+    return ranks.select("host", *(F.round(F.col(share) / F.col(rank), 9).alias(name) for share, rank, name in (
+        ("t", "p", "trust"), ("d", "r", "distrust"), ("u", "r", "distrusted"))))
 
 
 def url_verdicts(
@@ -123,7 +138,7 @@ def url_verdicts(
     seeds = ruled.where("host <> ''").groupBy("host").agg(*(v.alias(k) for k, v in share.items()))
     links = stage(host_links(pages), "host-links")
     scores = host_scores(seeds, links, rounds)
-    blocked = stage(scores.where((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))).select(
+    blocked = stage(scores.where((F.col("distrusted") >= threshold) & (F.col("distrusted") > F.col("trust"))).select(
         "host", F.lit("block").alias("by_host")), "blocked-hosts")
     judged = lookup(ruled, blocked, ["host"], HOST_ROW)
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", "by_host", F.lit("allow")).alias("verdict"))

@@ -55,6 +55,34 @@ def test_distrust_flows_back_and_trust_forward(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
 
 
+def test_farms_are_blocked_at_the_registered_threshold(spark):
+    """Farms of several in-degrees, a host before a farm, and hosts that only brush a blocked one."""
+    pages = []
+    for n in (1, 2, 3, 10):
+        spam = [f"spam{i}-{n}.net" for i in range(n)]
+        pages += [(f"https://{h}/es/", "", "block") for h in spam]
+        pages += [(f"https://farm{i}-{n}.org/", link(*spam), "block") for i in range(n)]  # as many farms as targets
+        pages += [(f"https://many{i}-{n}.org/", link(f"hub-{n}.net"), "block") for i in range(n)]  # one target
+        pages += [(f"https://hub-{n}.net/fr/", "", "block"), (f"https://before-{n}.org/", link(f"farm0-{n}.org"), "block")]
+    pages += [("https://brushed.net/es/", "", "block"),
+              ("https://blog.org/", link("brushed.net", *(f"plain{i}.org" for i in range(4))), "allow"),
+              ("https://part.net/es/", "", "block"), *[("https://part.net/", link("plain0.org"), "allow")] * 9]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], PAGES)
+    got = {r.page_id: r.verdict for r in uf.url_verdicts(df, URL_RULES).collect()}
+    assert {p[0]: got[i] for i, p in enumerate(pages)} == {p[0]: p[2] for p in pages}
+
+
+def test_distrusted_takes_the_mean_of_links_for_unruled_pages(spark):
+    seeds = spark.createDataFrame(
+        [("s", 0.0, 1.0), ("a", 0.0, 0.0), ("b", 0.0, 0.0), ("c", 1.0, 0.0), ("m", 0.0, 0.1), ("n", 0.0, 0.1)],
+        "host string, good double, bad double")
+    edges = [("a", "s"), ("b", "a"), ("c", "s"), ("m", "s"), ("n", "x")]
+    got = {r.host: r for r in uf.host_scores(seeds, spark.createDataFrame(edges, "src string, dst string")).collect()}
+    assert [got[h].distrusted for h in "sabmx"] == [1, 1, 1, 1, 0]
+    assert got["c"].distrusted == got["c"].distrust < 0.5 and got["n"].distrusted < 0.1
+    assert all(r.distrusted >= r.distrust for r in got.values())
+
+
 def test_empty_and_native(spark):
     empty = spark.createDataFrame([], PAGES)
     assert uf.url_verdicts(empty, URL_RULES).count() == 0
