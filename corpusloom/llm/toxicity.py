@@ -222,7 +222,10 @@ def _uses(batches):
 
 
 def learn_terms(sample: DataFrame) -> list[str]:
-    """Terms and stems that a labelled sample (``text, toxic``) adds to the lexicon."""
+    """Terms and stems that a labelled sample (``text, toxic``) adds to the lexicon.
+
+    Words stay beside the stems that cover them: stems allow no edit.
+    """
     uses = sample.select("text", "toxic").mapInArrow(_uses, "word string, around long, toxic boolean").distinct()
     stems = F.transform(F.sequence(F.lit(STEMS[0]), F.lit(STEMS[-1])),
                         lambda n: F.when(F.length("word") > n, F.concat(F.substring("word", F.lit(1), n), F.lit("*"))))
@@ -230,8 +233,7 @@ def learn_terms(sample: DataFrame) -> list[str]:
     counted = terms.groupBy("term").agg(F.count("*").alias("n"), F.count_if("toxic").alias("k"))
     found = {r.term for r in counted.where((F.col("k") >= MIN_USES) & (F.col("k") >= MIN_SHARE * F.col("n"))).collect()}
     short = {t for t in found if t.endswith("*") and not any(t[:n] + "*" in found for n in STEMS if n < len(t) - 1)}
-    covered = lambda t: any(t[:n] + "*" in short for n in STEMS if n <= len(t))
-    return sorted(short | {t for t in found if not t.endswith("*") and not covered(t)})
+    return sorted(short | {t for t in found if not t.endswith("*")})
 
 
 def _hit_features(batches, terms):

@@ -60,6 +60,31 @@ def test_held_out_accuracy_and_misspellings(spark, data):
     assert sum(got[i].predicted == truth[i] for i in unseen) >= 0.97 * len(unseen)
 
 
+def test_learned_terms_keep_their_edits(spark):
+    """Held-out documents with misspellings of learned terms only, within the letters of their stems."""
+    rng = random.Random(8)
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    learned = ["zrakulo", "vexbarok", "qimtharduno"]
+    bag = lambda *more: " ".join(rng.sample([*rng.choices(plain, k=40), *more], 40 + len(more)))
+
+    def misspelled(letters):
+        word, at = rng.choice(learned), rng.randrange(1, 4)
+        return word[:at] + rng.choice(letters) + word[at + rng.randrange(2):]
+
+    held = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    kept = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2][:800]
+    toxic = [i for i in kept if i % 3 == 0]
+    docs = [(i, bag()) for i in kept if i % 3]
+    docs += [(i, bag(*(misspelled("abcdefghijklm") if n % 4 == 0 else rng.choice(learned) for _ in "ab"))) for n, i in enumerate(toxic)]
+    labels = [(i, int(i % 3 == 0)) for i in kept]
+    cases = [(i, bag(misspelled("nopqrstuvwxyz"), misspelled("nopqrstuvwxyz"))) for i in held[:20]]
+    clean = [(i, bag("brakula", "zroxulo", "vebrok")) for i in held[20:40]]
+    got = {r.doc_id: r.predicted for r in tox.toxicity(
+        spark.createDataFrame(docs + cases + clean, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    assert [got[i] for i, _ in cases] == [1] * len(cases) and [got[i] for i, _ in clean] == [0] * len(clean)
+
+
 def test_quotation_scores_below_abuse(spark, data):
     model = tox.ToxicityModel(tox.INSULTS, tox.PRIOR)
     texts = ["you are an idiot", 'the word "idiot" was used', "he said idiot once", "you are an idoit moron scum", "nothing here"]
