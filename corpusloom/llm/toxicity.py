@@ -4,7 +4,8 @@ A lexicon of terms and stems is held in a trie.  The automaton that accepts all
 words within the allowed distance of a term runs over the trie; its states are
 sets of (trie node, edits) and are made when first met, so a word costs one
 dictionary step per letter.  Longer terms allow more edits; a stem accepts
-whatever follows it.
+whatever follows it.  Words are runs of letters, and also what white space
+separates, without outer punctuation: an inner digit or symbol costs an edit.
 
 Each hit is looked at in its context window: inside quotation marks, or near a
 word of reporting, it counts as quoted, else as abuse.  Counts of both kinds,
@@ -44,6 +45,8 @@ REPORTING = ("called", "calls", "quote", "quoted", "quotes", "said", "says", "sl
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
+_WORDLIKE = _LETTER.copy()
+_WORDLIKE[[*range(48, 58)]] = True
 _QUOTE = ord('"')
 #: Prior weights: constant, abuse, quoted, misspelled abuse, misspelled quoted, share of hits.
 PRIOR = np.array([-4.0, 4.0, 0.3, 1.0, 0.0, 1.0])
@@ -147,11 +150,28 @@ def letter_runs(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+def mixed_words(texts: Texts, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of white-space words with letters and 1 to ``most`` other bytes within, outer punctuation left out."""
+    starts, ends = texts.words
+    solid = np.concatenate(([0], np.cumsum(_WORDLIKE[texts.data])))
+    at = np.flatnonzero(_WORDLIKE[texts.data])
+    held = solid[ends] > solid[starts]
+    first, last = solid[starts[held]], solid[ends[held]] - 1
+    starts, ends = at[first], at[last] + 1
+    letters = np.concatenate(([0], np.cumsum(_LETTER[texts.data])))
+    n = letters[ends] - letters[starts]
+    other = ends - starts - n
+    fit_ = (n > 0) & (other > 0) & (other <= most)
+    return starts[fit_], ends[fit_]
+
+
 class Scanner:
     """Counts of hits in texts, with the words met before remembered by their hash."""
 
     def __init__(self, terms):
         self.automaton = LexiconAutomaton(terms)
+        #: Most bytes other than letters that a word within the allowed edits of a term can hold.
+        self.most_other = max((edits_allowed(t) + int((~_LETTER[list(t.encode())]).sum()) for t in terms if not t.endswith("*")), default=0)
         self.reporting = {w.encode() for w in REPORTING}
         self.known: dict[int, int] = {}
 
@@ -176,6 +196,7 @@ class Scanner:
         starts, ends = letter_runs(texts)
         owner = texts.owners(starts)
         kinds = self._kinds(texts, starts, ends, texts.hashes(starts, ends))
+        self._add_mixed(texts, starts, kinds)
         hits = np.flatnonzero((kinds == 0) | (kinds == 1))
         quoted = self._quoted(texts, starts, kinds, owner, hits)
         count = [np.bincount(owner[hits[(kinds[hits] == kind) & (quoted == q)]], minlength=len(texts))
@@ -184,6 +205,17 @@ class Scanner:
         share = 10 * (count[0] + count[2]) / words
         return np.stack([np.ones(len(texts)), *(np.log1p(c) for c in count), np.minimum(share, 3)], axis=1)
 
+    def _add_mixed(self, texts: Texts, starts, kinds) -> None:
+        """Counts a hit of a whole word at its first run of letters, unless one of its runs is a hit."""
+        begins, ends = mixed_words(texts, self.most_other)
+        first, after = np.searchsorted(starts, begins), np.searchsorted(starts, ends)
+        hit = np.concatenate(([0], np.cumsum((kinds == 0) | (kinds == 1))))
+        free = hit[after] == hit[first]
+        begins, ends, first = begins[free], ends[free], first[free]
+        found = self._kinds(texts, begins, ends, texts.hashes(begins, ends))
+        met = (found == 0) | (found == 1)
+        kinds[first[met]] = found[met]
+
     @staticmethod
     def _quoted(texts: Texts, starts, kinds, owner, hits) -> np.ndarray:
         """Hits within quotation marks of their line, or close to a word of reporting."""

@@ -1,9 +1,12 @@
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import toxicity as tox
+from corpusloom.llm.arrays import texts_of
 from tests.conftest import rows
 
 
@@ -85,6 +88,24 @@ def test_learned_terms_keep_their_edits(spark):
     assert [got[i] for i, _ in cases] == [1] * len(cases) and [got[i] for i, _ in clean] == [0] * len(clean)
 
 
+def test_inner_digits_and_symbols_cost_an_edit():
+    disguised = ["m0ron", "id1ot", "tr@sh", "st*pid", "wor-thless", "w0rthl3ss", "(M0RON!),", "l.oser", "1diot", "$tupid", "ver9min"]
+    clean = ["m0r0n", "m0del", "cr@ssh", "low-er", "clos-er", "co-worker", "2024-01-02", "3.5", "covid19", "a@b.cd", "st4tion",
+             "tr@in", "du-mb", "", "-", "https://x.org/id1ot/p", "m0 ron", "x" * 5000 + "-m0ron"]
+    plain = ["moron", "idiot-like", "trash-can", "you,idiot"]
+    words = disguised + clean + plain
+    texts = texts_of(pa.array(words))
+    f = tox.Scanner(tox.INSULTS).features(texts)
+    hits = np.rint(np.expm1(f[:, 1:5])).astype(int).tolist()
+    at = {w: h for w, h in zip(words, hits, strict=True)}
+    # abuse, quoted, misspelled abuse, misspelled quoted
+    assert [w for w in disguised if at[w] != [0, 0, 1, 0]] == []
+    assert [w for w in clean if at[w] != [0] * 4] == [] and [w for w in plain if at[w] != [1, 0, 0, 0]] == []
+    assert (tox.Scanner(tox.INSULTS).features(texts_of(pa.array([None, ""], pa.string())))[:, 1:] == 0).all()
+    quoted = tox.Scanner(tox.INSULTS).features(texts_of(pa.array(['the word "m0ron" was used', 'you m0ron, he is an "id1ot"'])))
+    assert np.rint(np.expm1(quoted[:, 1:5])).tolist() == [[0, 0, 0, 1], [0, 0, 1, 1]]
+
+
 def test_quotation_scores_below_abuse(spark, data):
     model = tox.ToxicityModel(tox.INSULTS, tox.PRIOR)
     texts = ["you are an idiot", 'the word "idiot" was used', "he said idiot once", "you are an idoit moron scum", "nothing here"]
