@@ -91,11 +91,25 @@ def _cells(batches, least: np.ndarray):
                 [batch.column(0), pa.array([r.tobytes() for r in cells], pa.binary())], ["rep", "cells"])
 
 
+def _slack(q: np.ndarray, least: np.ndarray, greatest: np.ndarray) -> np.ndarray:
+    """The most that a bound computed in floats can miss for each query; 0 where all sums are exact."""
+    most = np.abs(q) @ np.maximum(np.abs(least), np.abs(greatest)).max(axis=1)
+    return np.where(most < 2.0**52, 0, np.ceil((2 * q.shape[1] + 16) * 2.0**-52 * most))[:, None]
+
+
+def _whole(bounds: np.ndarray) -> np.ndarray:
+    """Whole floats as 64-bit numbers, those beyond as the outermost."""
+    ends = np.iinfo(np.int64)
+    inner = np.abs(bounds) < 2.0**63
+    return np.where(inner, np.where(inner, bounds, 0).astype(np.int64), np.where(bounds > 0, ends.max, ends.min))
+
+
 def _scan(key, queries: pa.Table, blocks: pa.Table, k: int, borders) -> pa.Table:
     """Candidates of a block of queries in a group of approximations, with their bounds."""
     least, greatest = (b.astype(np.float64) for b in borders)
     q = _matrix(queries.column("v").to_pylist()).astype(np.float64)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
+    slack = _slack(q, least, greatest)
     best = np.full((len(q), k), -np.inf)
     dims = np.arange(q.shape[1])
     found = []
@@ -103,7 +117,7 @@ def _scan(key, queries: pa.Table, blocks: pa.Table, k: int, borders) -> pa.Table
         part = blocks.slice(start, VECTOR_BLOCK)
         cells = _matrix(part.column("cells").to_pylist(), np.uint8)
         low, high = least[dims, cells].T, greatest[dims, cells].T
-        lower, upper = up @ low + down @ high, up @ high + down @ low
+        lower, upper = up @ low + down @ high - slack, up @ high + down @ low + slack
         best = -np.partition(-np.concatenate((best, lower), axis=1), k - 1, axis=1)[:, :k]
         i, j = np.nonzero(upper >= best.min(axis=1)[:, None])
         found.append((i, j + start, lower[i, j], upper[i, j]))
@@ -111,7 +125,7 @@ def _scan(key, queries: pa.Table, blocks: pa.Table, k: int, borders) -> pa.Table
     keep = upper >= best.min(axis=1)[i]
     return pa.table({
         "query": queries.column("query").take(pa.array(i[keep])), "rep": blocks.column("rep").take(pa.array(j[keep])),
-        "lower": pa.array(lower[keep].astype(np.int64)), "upper": pa.array(upper[keep].astype(np.int64))})
+        "lower": pa.array(_whole(lower[keep])), "upper": pa.array(_whole(upper[keep]))})
 
 
 def _products(batches):

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import topk
@@ -48,3 +49,18 @@ def test_blocks_meet(spark, monkeypatch):
 @pytest.mark.parametrize("vectors", [[], [(1, [0.5])], [(0, [0.5])], [(0, [0.5]), (3, [0.25]), (3, [0.25])], [(20, [])]])
 def test_few_rows(spark, vectors):
     assert found(spark, vectors, 20) == brute(dict(vectors).items(), 20)
+
+
+def test_bounds_hold_beyond_the_exact_floats():
+    """Sums near 2**60: the small parts of the true best round away one by one."""
+    q = np.array([[2**30] + [1] * 7], np.int64)
+    v = np.array([[2**30] + [100] * 7, [2**30, 600] + [0] * 6, [0] * 8], np.int64)
+    values = np.sort(v.T, axis=1)
+    cells = np.array([[np.searchsorted(values[d], x) for d, x in enumerate(row)] for row in v], np.uint8)
+    scores = (v * q).sum(axis=1)
+    out = topk._scan(None, pa.table({"query": [0], "v": [q[0].tobytes()]}), pa.table(
+        {"rep": [0, 1, 2], "cells": [c.tobytes() for c in cells]}), 1, (values, values)).to_pydict()
+    assert set(out["rep"]) == {0, 1} and scores.argmax() == 0
+    assert all(a <= scores[r] <= b for r, a, b in zip(out["rep"], out["lower"], out["upper"], strict=True))
+    assert topk._whole(np.array([2.0**63, -(2.0**64), 5.0])).tolist() == [2**63 - 1, -(2**63), 5]
+    assert (topk._slack(np.ones((1, 8)), values[:, :1] * 0.0, values[:, :1] * 0.0 + 9) == 0).all()
