@@ -120,3 +120,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines OR 2 * n_upper > n_letters) AS kept
 FROM m
 """
+
+# Matches of each kind in order, with the pieces between them, give the offsets;
+# a failing match keeps its place, as the scan does not search its characters again.
+# CRC-32 is folded bit by bit (reflected polynomial 0xEDB88320).
+_KEY = "[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+_SECRET_KINDS = [
+    ("assign", f"""({_KEY})["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+    ("token", "(gh[pousr]|npm)_[0-9A-Za-z]+"),
+    ("private_key", "-----BEGIN [A-Z\\x20]*PRIVATE KEY-----[A-Za-z0-9+/=\\x20\\x09-\\x0D]+-----END [A-Z\\x20]*PRIVATE KEY-----"),
+]
+_MATCHES = "\n  UNION ALL ".join(
+    f"SELECT r, '{kind}' AS kind, {i} AS o, regexp_extract_all(t, '{p}') AS ms, regexp_split_to_array(t, '{p}') AS ps FROM d"
+    .replace("'(", "'(").replace("[\"']", "[\"'']") for i, (kind, p) in enumerate(_SECRET_KINDS))
+_CRC = ("xor(list_reduce(range(240), lambda c, i: xor((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(b, i // 8 + 1, 1))) ELSE c END) >> 1, "
+        "CASE WHEN ((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(b, i // 8 + 1, 1))) ELSE c END) & 1) = 1 THEN 3988292384 ELSE 0 END), "
+        "4294967295::BIGINT), 4294967295)")
+_B62 = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'"
+ORACLES["op11_secrets"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+m AS ({_MATCHES}),
+u AS (SELECT r, kind, o, unnest(ms) AS mt, unnest(ps[1:len(ms)]) AS before, unnest(range(1, len(ms) + 1)) AS i FROM m),
+p AS (SELECT r, kind, o, mt, sum(length(before) + length(mt)) OVER (PARTITION BY r, kind ORDER BY i) - length(mt) AS s FROM u),
+tok AS (SELECT *, substr(mt, 5, 30) AS b, substr(mt, 35) AS tail FROM p WHERE kind = 'token' AND length(mt) = 40),
+tok_ok AS (
+  SELECT r, kind, o, s, s + length(mt) AS e FROM (SELECT *, {_CRC} AS crc FROM tok)
+  WHERE tail = list_aggregate(list_transform(range(5, -1, -1), lambda k: substr({_B62}, (crc // (62::BIGINT ** k)::BIGINT) % 62 + 1, 1)), 'string_agg', '')),
+pem AS (
+  SELECT *, regexp_extract(mt, '^-----BEGIN ([A-Z\\x20]*)PRIVATE KEY-----', 1) AS l1,
+    regexp_extract(mt, '-----END ([A-Z\\x20]*)PRIVATE KEY-----$', 1) AS l2,
+    regexp_replace(regexp_extract(mt, 'KEY-----([^-]*)-----END', 1), '[\\x20\\x09-\\x0D]+', '', 'g') AS body
+  FROM p WHERE kind = 'private_key'),
+ok AS (
+  SELECT r, kind, o, s, s + length(mt) AS e FROM p
+  WHERE (kind = 'assign' AND length(regexp_extract(mt, '[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6)
+     OR (kind = 'access' AND length(mt) >= 20) OR (kind = 'hex' AND length(mt) >= 24)
+  UNION ALL SELECT * FROM tok_ok
+  UNION ALL SELECT r, kind, o, s, s + length(mt) FROM pem
+  WHERE l1 = l2 AND regexp_full_match(body, '([A-Za-z0-9+/]{{4}})*([A-Za-z0-9+/]{{2}}==|[A-Za-z0-9+/]{{3}}=)?')
+    AND 3 * length(body) // 4 - (length(body) - length(replace(body, '=', ''))) >= 64),
+g AS (
+  SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (WHERE o < 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans
+  FROM ok GROUP BY r)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""

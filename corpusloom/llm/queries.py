@@ -15,6 +15,7 @@ from corpusloom.llm.pieces import decode_pieces, encode_pieces
 from corpusloom.llm.pii import BASE, pii_spans
 from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
+from corpusloom.llm.secret_scan import BASE as SECRET_KINDS, secret_spans
 from corpusloom.llm.token_counts import EDIT, apply_edits, build_trees
 from corpusloom.llm.topk import top_k
 from corpusloom.llm.toxicity import toxicity
@@ -154,3 +155,12 @@ def op9_pieces(spark, sf):
     return rows.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query
+def op11_secrets(spark, sf):
+    """Counts and digest of the base spans of secrets, and all spans, of every text."""
+    found = secret_spans(documents(spark, sf))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in SECRET_KINDS]
+    return found.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
