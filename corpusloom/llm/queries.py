@@ -13,6 +13,7 @@ from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.pieces import decode_pieces, encode_pieces
 from corpusloom.llm.pii import BASE, pii_spans
+from corpusloom.llm.prefix_trie import prefix_trie
 from corpusloom.llm.quality_model import quality_posterior
 from corpusloom.llm.quality_rules import quality_measures
 from corpusloom.llm.secret_scan import BASE as SECRET_KINDS, secret_spans
@@ -164,3 +165,9 @@ def op11_secrets(spark, sf):
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in SECRET_KINDS]
     return found.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
+
+
+@query
+def op12_prefix_trie(spark, sf):
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie(read_table(spark, f"{sf}/conversations.parquet", ["conv_id", "turn", "role", "text"]))
