@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusloom.llm.code_compress import book_digest, compress, with_label_error
 from corpusloom.llm.near_dup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.pieces import decode_pieces, encode_pieces
@@ -171,3 +172,11 @@ def op11_secrets(spark, sf):
 def op12_prefix_trie(spark, sf):
     """Every node of the trie of all rebuilt conversations."""
     return prefix_trie(read_table(spark, f"{sf}/conversations.parquet", ["conv_id", "turn", "role", "text"]))
+
+
+@query
+def op13_codes(spark, sf):
+    """Codes of 8 parts from codebooks of 16 entries after 6 rounds, for every usable vector."""
+    codes, book = compress(read_table(spark, f"{sf}/embeddings.parquet", ["vec_id", "embedding", "label"]))
+    return with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(book_digest(book)).alias("codebooks_sha256"))
