@@ -102,8 +102,9 @@ def quality_posterior(
 
     Null texts count as empty.  Null hosts and paths are sites of their own.
     Null labels and ids are not learned from; several labels of a document are
-    averaged, rows without an id are scored.  Without labels all scores are
-    one half before rounding.  Repeated rows each count.  Other columns are not read.
+    averaged, rows without an id are scored.  Labels of ids that are not in
+    ``docs`` are not used at all; without labels of documents there, all scores
+    are one half and every document is kept.  Repeated rows each count.  Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     unknown = F.lit("\0")
@@ -111,7 +112,9 @@ def quality_posterior(
         "doc_id", F.coalesce(F.col(host).cast("string"), unknown).alias("host"),
         F.coalesce(F.col(path).cast("string"), unknown).alias("path"), "text")
     rows = stage(inputs.mapInArrow(_features, f"doc_id {kind}, host string, path string, x array<double>"), "features")
-    known = stage(_labels(labels, label), "labels")
+    # Base rate, weights and site means all come from the labels of documents that are there.
+    matched = _labels(labels, label).join(rows.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_semi")
+    known = stage(matched, "labels")
     weights = fit_evidence(rows, known, fit_rows)
     base = known.agg(F.avg("y")).first()[0]
     base = float(np.clip(0.5 if base is None else base, 0.001, 0.999))

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert [name for name, _ in pipeline.STAGES] == ["quality", "rules", "near_duplicates", "pii", "packing"]
 
 
