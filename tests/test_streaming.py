@@ -121,3 +121,28 @@ def test_corpus_batches_are_replayed_without_harm(spark, tmp_path):
     assert plain == text([("r1", 0, 0), ("r1", 1, 1), ("r1", 1, 1), ("r2", 0, 2), ("r2", 0, 2)], "replayed")
     count = lambda word: sum(line[0].split("\t")[1:2] == [word] for line in plain)
     assert (count("word1"), count("a"), count("b"), count("t2")) == (3, 1, 1, 1)
+
+
+def test_batches_read_what_their_keys_touch(spark, tmp_path, monkeypatch):
+    """After a large first batch, small batches read a flat amount of the seen table, not all of it."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(streaming, "PART_BLOCKS", 1)
+    seen, out = str(tmp_path / "seen"), str(tmp_path / "out")
+    streaming._open_seen(spark, seen)
+
+    def batch(first, docs, lines, word="p"):
+        text = F.concat_ws("\n", F.transform(F.sequence(F.lit(0), F.lit(lines - 1)), lambda x: F.concat(F.lit(word), (F.col("id") * lines + x).cast("string"))))
+        return spark.range(first, first + docs).select(F.col("id").alias("doc_id"), text.alias("text"))
+
+    streaming.dedup_batch(batch(0, 2000, 100), "r1", 0, seen, out, "doc_id", "text")
+    reads = []
+    for n in range(1, 9):
+        streaming.dedup_batch(batch(10_000 + 10 * n, 2, 5, "q").unionByName(batch(n, 1, 5)), "r1", n, seen, out, "doc_id", "text")
+        reads.append(streaming.LAST_READ["bytes"])
+    stored = streaming._bytes_under(spark, [seen])
+    assert max(reads) < stored / 3, (reads, stored)
+    assert reads[-1] <= 1.5 * reads[1]
+    got = spark.read.schema(VERDICTS).parquet(out).where("batch_id > 0")
+    assert got.where("doc_id >= 10000 and dup").count() == 0 and got.where("doc_id < 10000 and not dup").count() == 0
+    assert got.count() == 8 * 15
