@@ -462,13 +462,18 @@ def in_order(df: DataFrame, id: str) -> list[DataFrame]:
     return [df.where((F.col(id) >= start) & (F.col(id) < start + step)) for start in starts]
 
 
-def document_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents as a stream of files in the order of their ids."""
+def document_chunks(spark: SparkSession, sf: str):
+    """The documents in the order of their ids, as folders of files arriving one after the other.
+
+    Yields the glob of all folders so far each time one more is written; a
+    stream over it run until nothing is left takes the new folder as one
+    micro-batch.  Chunks are written as they lie, by as many tasks as they have.
+    """
     docs = documents(spark, sf)
     folder = new_path(spark, "stream")
-    for chunk in in_order(docs, "doc_id"):
-        chunk.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for n, chunk in enumerate(in_order(docs, "doc_id")):
+        chunk.write.mode("overwrite").parquet(f"{folder}/{n}")
+        yield docs.schema, f"{folder}/*"
 
 
 @query
@@ -493,19 +498,18 @@ def stream_corpus(spark, sf):
 
 @query
 def stream_first_seen(spark, sf):
-    firsts = streaming.stream_first_seen(document_stream(spark, sf))
-    out = new_path(spark, "first-seen")
-    run = firsts.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", new_path(spark, "checkpoint")
-    ).trigger(availableNow=True).start()
-    run.awaitTermination()
+    out, checkpoint = new_path(spark, "first-seen"), new_path(spark, "checkpoint")
+    for schema, files in document_chunks(spark, sf):
+        firsts = streaming.stream_first_seen(spark.readStream.schema(schema).parquet(files))
+        firsts.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint) \
+            .trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("key string").parquet(out)
 
 
 def _run_stream(spark, sf, start, schema):
-    out = new_path(spark, "out")
-    run = start(document_stream(spark, sf), new_path(spark, "seen"), out, new_path(spark, "checkpoint"))
-    run.awaitTermination()
+    out, seen, checkpoint = new_path(spark, "out"), new_path(spark, "seen"), new_path(spark, "checkpoint")
+    for kind, files in document_chunks(spark, sf):
+        start(spark.readStream.schema(kind).parquet(files), seen, out, checkpoint).awaitTermination()
     return spark.read.schema(schema).parquet(out).drop("run", "batch_id")
 
 
