@@ -3,7 +3,8 @@
 Two ways to find records, with one schema:
 
 ``length``     records are framed by ``Content-Length``, exact for any body;
-               one task streams one file and holds one record at a time.
+               archives are split at gzip members, so one archive feeds many
+               tasks; a task holds one record at a time.
 ``separator``  the text source cuts where a version line follows two line ends;
                all work stays in the JVM and it also works under
                ``readStream``.  A body that holds this is cut in two, which
@@ -16,15 +17,22 @@ on with ``framing`` ``bad``.
 from __future__ import annotations
 
 import gzip
+import io
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpusloom.staging import stage
+
 VERSION = "WARC/"
 GAP = "\r\n\r\n"
 BATCH_BYTES = 16 << 20
+SPLIT_BYTES = 64 << 20
 
 
 def read_manifests(spark: SparkSession, manifests: str, folder: str = "warcfiles") -> list[str]:
@@ -98,47 +106,184 @@ def separator_records(reader, paths) -> DataFrame:
     return raw.select(F.coalesce(rest, "value").alias("value"), F.col("_metadata.file_path").alias("file"))
 
 
-def _open(path: str):
+#: Schemes of Hadoop's file systems and pyarrow's names for the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gs": "gs", "hdfs": "hdfs"}
+
+
+def _raw(path: str):
+    """The compressed bytes of an archive, seekable."""
     from pyarrow import fs
 
-    local = "/" + re.sub(r"^file:/+", "", path) if path.startswith("file:") else path
-    system, inner = fs.FileSystem.from_uri(local)
-    return gzip.GzipFile(fileobj=system.open_input_stream(inner, compression=None))
+    if path.startswith("file:"):
+        path = "/" + re.sub(r"^file:/+", "", path)
+    scheme, sep, rest = path.partition("://")
+    if sep and scheme in SCHEMES:
+        path = f"{SCHEMES[scheme]}://{rest}"
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
 
 
-def framed(stream) -> Iterator[str]:
-    """Decoded records of one archive, cut by ``Content-Length``."""
-    held = b""
-    while line := held or stream.readline():
+def _open(path: str):
+    return gzip.GzipFile(fileobj=_raw(path))
+
+
+def framed_at(stream) -> Iterator[tuple[int, str]]:
+    """``(offset, record)``: decoded records of a stream cut by ``Content-Length``, and where each begins.
+
+    ``stream`` needs ``readline``, ``read`` and ``tell``.
+    """
+    held, at = b"", 0
+    while True:
+        if not held:
+            at = stream.tell()
+        line = held or stream.readline()
+        if not line:
+            return
         held = b""
         if not line.startswith(b"WARC/"):
             continue
         head, length = b"", None
-        while (line := stream.readline()).strip():
-            head += line
-            name, _, value = line.partition(b":")
+        while (row := stream.readline()).strip():
+            head += row
+            name, _, value = row.partition(b":")
             if name.strip().lower() == b"content-length" and value.strip().isdigit():
                 length = int(value)
         if length is None:
             # Without a length the record ends where the next one begins.
             body = b""
-            while line := stream.readline():
-                if line.startswith(b"WARC/") and body.endswith(b"\r\n\r\n"):
+            while True:
+                next_at = stream.tell()
+                row = stream.readline()
+                if not row or (row.startswith(b"WARC/") and body.endswith(b"\r\n\r\n")):
                     break
-                body += line
-            yield (head.rstrip() + b"\r\n\r\n" + body.removesuffix(b"\r\n\r\n") + b"\r\n\r\n").decode("utf-8", "replace")
-            held = line
+                body += row
+            yield at, (head.rstrip() + b"\r\n\r\n" + body.removesuffix(b"\r\n\r\n") + b"\r\n\r\n").decode("utf-8", "replace")
+            held, at = row, next_at
             continue
         body = stream.read(length)
-        yield (head.rstrip() + b"\r\n\r\n" + body + b"\r\n\r\n").decode("utf-8", "replace")
+        yield at, (head.rstrip() + b"\r\n\r\n" + body + b"\r\n\r\n").decode("utf-8", "replace")
 
 
-def _framed_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def framed(stream) -> Iterator[str]:
+    """Decoded records of one archive, cut by ``Content-Length``."""
+    for _, record in framed_at(io.BufferedReader(_Counted(stream))):
+        yield record
+
+
+class _Counted(io.RawIOBase):
+    """A readable stream that knows how many bytes it has given."""
+
+    def __init__(self, inner):
+        self.inner, self.at = inner, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.inner.read(len(buffer))
+        buffer[:len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+    def tell(self) -> int:
+        return self.at
+
+
+class Members(io.RawIOBase):
+    """Gzip members decompressed one after the other from a compressed offset on.
+
+    ``starts`` holds ``(decompressed offset, compressed offset)`` of each member
+    begun so far, so a record's position tells the member it begins in.
+    """
+
+    def __init__(self, raw, offset: int):
+        self.raw, self.offset, self.at = raw, offset, 0
+        self.starts = [(0, offset)]
+        self.unzip, self.pending = zlib.decompressobj(31), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def readinto(self, buffer) -> int:
+        while True:
+            if self.unzip.eof:
+                rest = self.unzip.unused_data
+                self.unzip = zlib.decompressobj(31)
+                self.pending = rest + self.pending
+                self.starts.append((self.at, self.offset - len(self.pending)))
+            if not self.pending:
+                self.pending = self.raw.read(1 << 20)
+                self.offset += len(self.pending)
+                if not self.pending:
+                    return 0
+            data = self.unzip.decompress(self.pending, len(buffer))
+            self.pending = self.unzip.unconsumed_tail
+            if data:
+                buffer[:len(data)] = data
+                self.at += len(data)
+                return len(data)
+
+    def member_of(self, at: int) -> int:
+        """Compressed offset of the member holding decompressed offset ``at``."""
+        return self.starts[bisect_right(self.starts, (at, float("inf"))) - 1][1]
+
+
+def member_offsets(raw) -> Iterator[tuple[int, int]]:
+    """``(offset, length)`` of every gzip member of a compressed stream; output is not kept."""
+    start = pos = 0
+    unzip, buf = zlib.decompressobj(31), b""
+    while True:
+        if not buf:
+            buf = raw.read(1 << 20)
+            if not buf:
+                break
+        before = len(buf)
+        unzip.decompress(buf, 1 << 16)
+        if unzip.eof:
+            rest = unzip.unused_data
+            pos += before - len(rest)
+            yield start, pos - start
+            start, unzip, buf = pos, zlib.decompressobj(31), rest
+        else:
+            buf = unzip.unconsumed_tail
+            pos += before - len(buf)
+    if pos > start:
+        yield start, pos - start  # a member cut short is read as far as it goes
+
+
+def _splits_of_files(batches: Iterator[pd.DataFrame], split_bytes: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["file"]:
+            starts, ends, first = [], [], None
+            with _raw(path) as raw:
+                for offset, length in member_offsets(raw):
+                    first = offset if first is None else first
+                    if offset + length - first >= split_bytes:
+                        starts.append(first)
+                        ends.append(offset + length)
+                        first = None
+            if first is not None:
+                starts.append(first)
+                ends.append(2**62)
+            elif ends:
+                ends[-1] = 2**62
+            yield pd.DataFrame({"file": path, "start": starts, "end": ends})
+
+
+def _split_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records that begin in members of ``[start, end)``; the last may read on into later members."""
+    for batch in batches:
+        for path, start, end in zip(batch["file"], batch["start"], batch["end"], strict=True):
             held, size = [], 0
-            with _open(path) as stream:
-                for value in framed(stream):
+            with _raw(path) as raw:
+                raw.seek(start)
+                members = Members(raw, start)
+                for at, value in framed_at(io.BufferedReader(members, 1 << 16)):
+                    if members.member_of(at) >= end:
+                        break
                     held.append(value)
                     size += len(value)
                     if size >= BATCH_BYTES:
@@ -148,17 +293,25 @@ def _framed_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"value": held, "file": path})
 
 
-def length_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Raw records by ``Content-Length``, one task per archive.
+def length_records(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Raw records by ``Content-Length``, in splits of about ``split_bytes`` compressed bytes.
 
-    Folders and globs are listed by Spark, whose file systems they may use; the
-    archives themselves are opened by pyarrow.
+    A first pass finds the gzip members of every archive (one task per archive,
+    decompressing without keeping anything) and groups consecutive members into
+    splits; the splits are then read by as many tasks, each seeking to its first
+    member.  A split owns the records that begin in its members, so records
+    that span members are read whole once.  Archives of one gzip member are one
+    split.  Folders and globs are listed by Spark; archives are opened by
+    pyarrow, with ``s3a``/``s3n`` read as ``s3`` and ``abfss`` as ``abfs``.
     """
-    listed = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
-    names = sorted(row.file for row in listed.collect())  # one name for each archive
-    rows = spark.sparkContext.parallelize([(n,) for n in names], max(1, len(names)))
-    files = spark.createDataFrame(rows, "file string")
-    return files.mapInPandas(_framed_batches, "value string, file string")
+    spark_files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
+    names = sorted(row.file for row in spark_files.collect())  # one name for each archive
+    if not names:
+        return spark.createDataFrame([], "value string, file string")
+    files = spark.createDataFrame([(n,) for n in names], "file string").repartition(len(names))
+    splits = stage(files.mapInPandas(partial(_splits_of_files, split_bytes=split_bytes), "file string, start bigint, end bigint"), "warc-splits")
+    count = splits.count()
+    return splits.repartition(max(1, count)).mapInPandas(_split_records, "value string, file string")
 
 
 def read_warc(
@@ -170,8 +323,8 @@ def read_warc(
 ) -> DataFrame:
     """``doc_id, uri, content_type, payload``: one row per record.
 
-    Archives are not splittable, so follow with
-    :func:`corpusloom.sources.tables.spread` when there are few of them.
+    With ``length`` framing archives are read in splits of gzip members; the
+    ``separator`` form reads one archive in one task.
     """
     if framing == "length":
         raw = length_records(spark, [paths] if isinstance(paths, str) else list(paths))

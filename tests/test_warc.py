@@ -120,3 +120,34 @@ def test_stream(spark, archives, tmp_path):
 def test_unknown_framing(spark):
     with pytest.raises(ValueError):
         warc.read_warc(spark, "x", framing="other")
+
+
+def _record(i, body):
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:r{i}>\r\nContent-Length: {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def test_split_archives_equal_the_sequential_read(spark, tmp_path):
+    import gzip as gz
+    import random as rnd
+
+    from corpusloom.sources import warc as w
+
+    rng = rnd.Random(4)
+    records = [_record(i, (f"HTTP/1.1 200 OK\r\n\r\nbody {i} " + "x" * rng.randrange(0, 3000)).encode()
+                       + (b"\r\n\r\nWARC/1.0\r\nnot a record" if i % 7 == 0 else b"")) for i in range(1000)]
+    per_record = tmp_path / "a.warc.gz"
+    per_record.write_bytes(b"".join(gz.compress(r) for r in records))
+    blob = b"".join(records)  # members cut through records: 5,000 bytes each
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gz.compress(blob[i:i + 5000]) for i in range(0, len(blob), 5000)))
+    (tmp_path / "c.warc.gz").write_bytes(gz.compress(blob))  # one member: one split
+    want = []
+    for name in ("a", "b", "c"):
+        with gz.open(tmp_path / f"{name}.warc.gz") as stream:
+            want += [(v, name) for v in w.framed(stream)]
+    raw = w.length_records(spark, [str(tmp_path)], split_bytes=10_000)
+    got = [(r.value, r.file.rsplit("/", 1)[1][0]) for r in raw.collect()]
+    assert sorted(got) == sorted(want) and len(want) == 3000
+    assert raw.rdd.getNumPartitions() >= 8
+    with open(per_record, "rb") as raw_file:
+        assert len(list(w.member_offsets(raw_file))) == 1000
