@@ -335,9 +335,26 @@ def read_warc(
     return parse_records(raw, check, warc_type)
 
 
+def _whole_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield from _split_records(iter([pd.DataFrame({"file": batch["file"], "start": 0, "end": 2**62})]))
+
+
 def read_warc_stream(
-    spark: SparkSession, path: str, max_files: int = 1000, check: bool = False
+    spark: SparkSession, path: str, max_files: int = 1000, check: bool = False, framing: str = "length"
 ) -> DataFrame:
-    """The same rows as a stream over a folder of archives."""
+    """The same rows as a stream over a folder of archives.
+
+    With ``length`` framing the stream carries the paths of new archives only
+    (Spark's binary file source, its content column pruned), and tasks frame
+    each archive by ``Content-Length`` as the batch form does, exactly for any
+    body; an archive is read by one task.  ``separator`` keeps all work in the JVM.
+    """
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    return parse_records(separator_records(reader, path), check)
+    if framing == "separator":
+        return parse_records(separator_records(reader, path), check)
+    if framing != "length":
+        raise ValueError("framing is 'separator' or 'length'")
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    files = reader.format("binaryFile").schema(schema).load(path).select(F.col("path").alias("file"))
+    return parse_records(files.mapInPandas(_whole_files, "value string, file string"), check)

@@ -111,7 +111,7 @@ def test_manifests(spark, tmp_path):
 
 def test_stream(spark, archives, tmp_path):
     out = str(tmp_path / "out")
-    df = warc.read_warc_stream(spark, f"{tmp_path}/*.warc.gz")
+    df = warc.read_warc_stream(spark, f"{tmp_path}/*.warc.gz", framing="separator")
     run = df.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
     run.trigger(availableNow=True).start(out).awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(warc.read_warc(spark, archives, "separator"))
@@ -151,3 +151,23 @@ def test_split_archives_equal_the_sequential_read(spark, tmp_path):
     assert raw.rdd.getNumPartitions() >= 8
     with open(per_record, "rb") as raw_file:
         assert len(list(w.member_offsets(raw_file))) == 1000
+
+
+def test_stream_frames_by_length(spark, tmp_path):
+    """A body that holds the separator stays one record in the stream, as in the batch read."""
+    import gzip as gz
+
+    from corpusloom.sources import warc as w
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    records = [_record(i, f"HTTP/1.1 200 OK\r\n\r\nbody {i}\r\n\r\nWARC/1.0\r\nfake: yes".encode()) for i in range(30)]
+    (folder / "a.warc.gz").write_bytes(b"".join(gz.compress(r) for r in records[:20]))
+    (folder / "b.warc.gz").write_bytes(gz.compress(b"".join(records[20:])))
+    out = str(tmp_path / "out")
+    stream = w.read_warc_stream(spark, str(folder), check=True)
+    stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")) \
+        .trigger(availableNow=True).start(out).awaitTermination()
+    got = spark.read.parquet(out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, w.read_warc(spark, str(folder), check=True).collect()))
+    assert got.count() == 30 and got.where("framing = 'ok'").count() == 30
