@@ -37,12 +37,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _power_table(n: int) -> list[np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
+    """Powers of the base and of its inverse up to ``n``.
+
+    Those of one slice are kept for the life of the worker; a longer text gets
+    its own, given back with it, so a worker holds no more than a slice needs.
+    """
+    if n > SLICE_BYTES + 1:
+        table = _power_table(n)
+        return table[0], table[1]
+    if len(_POWERS[0]) < SLICE_BYTES + 1:
+        _POWERS[:] = _power_table(SLICE_BYTES + 1)
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
