@@ -320,7 +320,9 @@ def lexicon_fit(spark, sf):
 
 @query
 def annotate_tokens(spark, sf):
-    return annotate.annotate_tokens(tokens.token_table(documents(spark, sf)), lexicon(spark, sf))
+    found = lexicon(spark, sf)
+    toks = tokens.token_table(annotate.placed(documents(spark, sf), found))
+    return annotate.annotate_tokens(toks, found).drop(tokens.CHUNK)
 
 
 def _shape_model():

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions import text as tx
 from corpusloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, salted_lookup
-from corpusloom.operators.tokens import UNKNOWN, explode_tokens
+from corpusloom.operators.tokens import CHUNK, UNKNOWN, chunk_of, explode_tokens, in_chunks, to_chunks
 from corpusloom.staging import stage
 
 LONGEST_SUFFIX = 4
@@ -82,20 +82,31 @@ def _resolve(
     )
 
 
+def placed(docs: DataFrame, lexicon: DataFrame, id: str = "doc_id", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` ready to be cut into tokens: in chunks, unless ``lexicon`` is small enough to be broadcast."""
+    return docs if fits_broadcast(lexicon, LEXICON_ROW_BYTES, limit) else in_chunks(docs, id)
+
+
 def annotate_tokens(
     tokens: DataFrame, lexicon: DataFrame, form: str = "tok", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add ``pos, lemma`` from a lexicon; ``lexicon`` should be a stored table.
 
     A lexicon of checked size is broadcast, tokens stay where they are and most
-    need one probe.  A larger one is looked up once per distinct form, and the
-    tokens are joined with the result on a salted form, which splits very
-    frequent words.
+    need one probe.  For a larger one, tokens cut from documents that were
+    :func:`placed` stay where they are too: the distinct forms of each chunk are
+    looked up and brought back to it.  A form is looked up once for each chunk
+    at most, so a very frequent word is no load.  Other tokens are joined on a
+    salted form with the result of one look-up per distinct form.
     """
     suffixes = stage(suffix_table(lexicon), "suffixes")
     small_endings = fits_broadcast(suffixes, LEXICON_ROW_BYTES, limit)
     if fits_broadcast(lexicon, LEXICON_ROW_BYTES, limit):
         return _resolve(tokens, lexicon, suffixes, form, True, small_endings)
+    if chunk_of(tokens):
+        pairs = tokens.select(CHUNK, form).distinct()
+        found = to_chunks(_resolve(pairs, lexicon, suffixes, form, False, small_endings))
+        return tokens.join(found.hint("shuffle_hash"), [CHUNK, form], "left").select(*tokens.columns, "pos", "lemma")
     forms = _resolve(tokens.select(form).distinct(), lexicon, suffixes, form, False, small_endings)
     return salted_lookup(tokens, forms, [form]).select(*tokens.columns, "pos", "lemma")
 
@@ -138,22 +149,23 @@ def token_markup(
         F.lit('" title="'), _attribute(name), F.lit('">'),
     )
     head = tx.segmented(F.translate(name, "\r\n", "  "), sentences=False)
+    chunk = chunk_of(docs)
     laid = docs.select(
-        id, opening.alias("open"),
+        *chunk, id, opening.alias("open"),
         F.when(name != UNKNOWN, head).otherwise(F.lit("")).alias("head"),
         tx.paragraphs(tx.segmented(F.col(text))).alias("pars"),
     )
     has_head = F.col("head") != ""
     pars = F.when(F.get("pars", F.lit(0)) == "", F.array().cast("array<string>")).otherwise(F.col("pars"))
     laid = laid.select(
-        id, "open", has_head.alias("headed"),
+        *chunk, id, "open", has_head.alias("headed"),
         F.concat(F.when(has_head, F.array("head")).otherwise(F.array().cast("array<string>")), pars).alias("units"),
     )
     units = laid.select(
-        id, "open", "headed", F.size("units").alias("n_unit"),
+        *chunk, id, "open", "headed", F.size("units").alias("n_unit"),
         F.posexplode_outer("units").alias("unit", "seg"),
     ).where(F.col("seg").isNotNull())
-    toks = explode_tokens(units, [id, "open", "headed", "n_unit", "unit"])
+    toks = explode_tokens(units, [*chunk, id, "open", "headed", "n_unit", "unit"])
 
     in_head = F.col("headed") & (F.col("unit") == 0)
     first_tok, last_tok = F.col("tok_pos") == 0, F.col("tok_pos") == F.col("n_tok") - 1
@@ -177,7 +189,7 @@ def token_markup(
         mark(last_tok & last_sent & last_unit, "</doc>"),
     )
     return toks.select(
-        id, (F.col("unit") - F.col("headed").cast("int")).alias("par_pos"),
+        *chunk, id, (F.col("unit") - F.col("headed").cast("int")).alias("par_pos"),
         "sent_pos", "tok_pos", "tok", "glue", before.alias("before"), after.alias("after"),
     )
 
@@ -205,21 +217,22 @@ def vertical_lines(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
 
     Sentences and the title are followed by an empty line.
     """
-    doc = Window.partitionBy(id).orderBy(*POSITION)
+    chunk = chunk_of(tokens)
+    doc = Window.partitionBy(*chunk, id).orderBy(*POSITION)
     ends = F.sum(_ends_block().cast("int")).over(doc.rowsBetween(Window.unboundedPreceding, -1))
-    placed = tokens.select(
-        id, (F.row_number().over(doc) - 1 + F.coalesce(ends, F.lit(0))).cast("long").alias("at"),
+    numbered = tokens.select(
+        *chunk, id, (F.row_number().over(doc) - 1 + F.coalesce(ends, F.lit(0))).cast("long").alias("at"),
         _line().alias("line"), _ends_block().alias("ends"),
     )
     lines = F.when(F.col("ends"), F.array("line", F.lit(""))).otherwise(F.array("line"))
-    rows = placed.select(id, "at", F.posexplode(lines).alias("extra", "line"))
-    return rows.select(id, (F.col("at") + F.col("extra")).alias("line_pos"), "line")
+    rows = numbered.select(*chunk, id, "at", F.posexplode(lines).alias("extra", "line"))
+    return rows.select(*chunk, id, (F.col("at") + F.col("extra")).alias("line_pos"), "line")
 
 
 def vertical_document(lines: DataFrame, id: str = "doc_id") -> DataFrame:
     """``id, vertical``: the lines of each document, every one ended by a newline."""
     ordered = F.array_sort(F.collect_list(F.struct("line_pos", "line")))
-    grouped = lines.groupBy(id).agg(ordered.alias("lines"))
+    grouped = lines.groupBy(*chunk_of(lines), id).agg(ordered.alias("lines"))
     return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
 
 
@@ -228,11 +241,11 @@ def vertical_text(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
 
     The same text as :func:`vertical_document` over :func:`vertical_lines`
     without numbering the lines.  When ``tokens`` comes from documents that
-    were partitioned by ``id``, nothing is shuffled.
+    were partitioned by ``id`` or placed in chunks, nothing is shuffled.
     """
     line = F.concat(_line(), F.when(_ends_block(), "\n").otherwise(""))
     ordered = F.array_sort(F.collect_list(F.struct(*POSITION, line.alias("line"))))
-    grouped = tokens.groupBy(id).agg(ordered.alias("lines"))
+    grouped = tokens.groupBy(*chunk_of(tokens), id).agg(ordered.alias("lines"))
     return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
 
 
@@ -247,7 +260,7 @@ def conll_rows(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
         "\t", (F.col("tok_pos") + 1).cast("string"), "tok", "lemma", "pos", "pos",
         empty, empty, empty, empty, empty,
     )
-    return tokens.select(id, *POSITION, line.alias("line"))
+    return tokens.select(*chunk_of(tokens), id, *POSITION, line.alias("line"))
 
 
 def conll_document(rows: DataFrame, id: str = "doc_id") -> DataFrame:
@@ -256,6 +269,6 @@ def conll_document(rows: DataFrame, id: str = "doc_id") -> DataFrame:
         (F.col("tok_pos") == 0), F.concat(F.lit("\n"), F.col("line"))
     ).otherwise(F.col("line"))
     ordered = F.array_sort(F.collect_list(F.struct(*POSITION, body.alias("line"))))
-    grouped = rows.groupBy(id).agg(ordered.alias("lines"))
+    grouped = rows.groupBy(*chunk_of(rows), id).agg(ordered.alias("lines"))
     text = F.btrim(F.array_join("lines.line", "\n"), F.lit("\n"))
     return grouped.select(id, F.concat(text, F.lit("\n\n")).alias("conll"))

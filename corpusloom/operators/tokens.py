@@ -14,6 +14,31 @@ from corpusloom.functions import text as tx
 from corpusloom.functions.plan import where_computed
 
 UNKNOWN = "Unknown"
+#: Number of the chunk in which a document lies, where documents were placed in chunks.
+CHUNK = "_chunk"
+
+
+def in_chunks(df: DataFrame, id: str = "doc_id") -> DataFrame:
+    """Documents placed by id in as many chunks as there are shuffle partitions, numbered in ``_chunk``.
+
+    What is cut from them keeps the column and lies with its document, so joins
+    and groupings by ``_chunk`` and more do not shuffle it again.  Chunks are
+    not merged at run time: all tables placed like this line up.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = F.pmod(F.xxhash64(id), F.lit(n)).cast("int")
+    return to_chunks(df.withColumn(CHUNK, chunk), n)
+
+
+def to_chunks(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows moved to the chunk that ``_chunk`` names."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionById(n, CHUNK)
+
+
+def chunk_of(df: DataFrame) -> list[str]:
+    """``["_chunk"]`` when ``df`` was placed in chunks, else nothing."""
+    return [CHUNK] if CHUNK in df.columns else []
 
 
 def paragraph_split(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -25,9 +50,10 @@ def paragraph_split(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
 
 def segment_paragraphs(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_par, par_pos, seg``: one row per paragraph in segmented form."""
-    pars = df.select(id, tx.paragraphs(tx.segmented(F.col(text))).alias("pars"))
+    chunk = chunk_of(df)
+    pars = df.select(*chunk, id, tx.paragraphs(tx.segmented(F.col(text))).alias("pars"))
     rows = pars.select(
-        id, F.size("pars").alias("n_par"), F.posexplode_outer("pars").alias("par_pos", "seg")
+        *chunk, id, F.size("pars").alias("n_par"), F.posexplode_outer("pars").alias("par_pos", "seg")
     )
     return rows.where(F.col("seg") != "")
 
@@ -58,8 +84,9 @@ def explode_tokens(pars: DataFrame, keep: list[str], seg: str = "seg") -> DataFr
 def token_table(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, par_pos, sent_pos, tok_pos, tok, glue``: one row per token."""
     pars = segment_paragraphs(df, id, text)
-    return explode_tokens(pars, [id, "par_pos"]).select(
-        id, "par_pos", "sent_pos", "tok_pos", "tok", "glue"
+    chunk = chunk_of(pars)
+    return explode_tokens(pars, [*chunk, id, "par_pos"]).select(
+        *chunk, id, "par_pos", "sent_pos", "tok_pos", "tok", "glue"
     )
 
 
