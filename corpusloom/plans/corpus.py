@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators import annotate, html, langid
 from corpusloom.operators.dedup import first_copies, keep_paragraphs, reassemble
-from corpusloom.operators.tokens import paragraph_hash
+from corpusloom.operators.tokens import CHUNK, paragraph_hash
 from corpusloom.staging import stage, stage_by
 
 
@@ -56,11 +56,15 @@ def clean_corpus(
 def annotated(docs: DataFrame, lexicon: DataFrame, together: bool = False) -> DataFrame:
     """Marked-up tokens with ``pos`` and ``lemma``.
 
+    Documents are placed in chunks before they are cut into tokens when the
+    lexicon is large; tokens then have the number of their chunk.
     ``together`` places documents by id before they are cut into tokens, for a
     caller that puts them together again: raw text is shuffled then, not the
     many times larger annotated tokens.
     """
-    placed = docs.repartition("doc_id") if together else docs
+    placed = annotate.placed(docs, lexicon)
+    if together and CHUNK not in placed.columns:
+        placed = docs.repartition("doc_id")
     return annotate.annotate_tokens(annotate.token_markup(placed), lexicon)
 
 
