@@ -352,13 +352,13 @@ def token_markup(spark, sf):
     return annotate.token_markup(page_articles(spark, sf))
 
 
-def annotated_pages(spark, sf):
-    return corpus.annotated(page_articles(spark, sf), lexicon(spark, sf))
+def annotated_pages(spark, sf, together=False):
+    return corpus.annotated(page_articles(spark, sf), lexicon(spark, sf), together)
 
 
 @query
 def vertical_lines(spark, sf):
-    return annotate.vertical_lines(annotated_pages(spark, sf))
+    return annotate.vertical_lines(annotated_pages(spark, sf, together=True)).drop(tokens.CHUNK)
 
 
 @query
@@ -386,7 +386,7 @@ def corpus_conll(spark, sf):
 @query
 def conll_rows(spark, sf):
     toks = annotated_pages(spark, sf).where(F.col("par_pos") >= 0)
-    return annotate.conll_rows(toks)
+    return annotate.conll_rows(toks).drop(tokens.CHUNK)
 
 
 @query

@@ -130,3 +130,48 @@ def test_assembly_shuffles_documents_only(spark, lexicon):
     df = documents(spark, ("D", "U", "title", "x"))
     plan = corpus.vertical_corpus(df, lexicon)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def moved(df, column="tok_pos"):
+    """Whether any exchange of the plan carries ``column``."""
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        children = node.children()
+        below = [walk(children.apply(i)) for i in range(children.size())]
+        return any(below) or (node.nodeName() == "Exchange" and column in names)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+TEXTS = [
+    ("D", "U", "A title", "The run. Run xyz\nking talking"), ("E", "V", None, "the the walking. Jumping"),
+    ("F", "V", "Unknown", ""), ("D", "W", "Twice", "run again"), (None, "N", "No id", "King. The thing"),
+]
+
+
+def _annotated(docs, lexicon):
+    return annotate.annotate_tokens(tokens.token_table(annotate.placed(docs, lexicon)), lexicon).drop(tokens.CHUNK)
+
+
+def _lines(docs, lexicon):
+    return annotate.vertical_lines(corpus.annotated(docs, lexicon, together=True)).drop(tokens.CHUNK)
+
+
+@pytest.mark.parametrize("make", [_annotated, corpus.vertical_corpus, corpus.conll_corpus, _lines])
+def test_large_lexicon_leaves_tokens_in_place(spark, lexicon, monkeypatch, make):
+    """Only documents and the distinct forms of their chunks are shuffled; rows are those of a small lexicon."""
+    df = documents(spark, *TEXTS[:3], TEXTS[4])
+    want = make(df, lexicon)
+    monkeypatch.setattr(annotate, "fits_broadcast", lambda *_: False)
+    got = make(df, lexicon)
+    assert not moved(got)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_large_lexicon_with_repeated_ids(spark, lexicon, monkeypatch):
+    df = documents(spark, *TEXTS)
+    want = rows(_annotated(df, lexicon))
+    monkeypatch.setattr(annotate, "fits_broadcast", lambda *_: False)
+    assert rows(_annotated(df, lexicon)) == want
