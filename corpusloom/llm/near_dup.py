@@ -42,6 +42,8 @@ SLACK = 6
 #: Ids are broadcast up to so many bytes, 40 to a row.
 ID_BYTES, ID_ROW = 64 << 20, 40
 SIZE_STEP = 1.03
+#: Bytes of text hashed at once; workers that have run keep what they held.
+HASH_BYTES = 1 << 18
 
 
 def bands_for(percent: int, rows: int = ROWS) -> int:
@@ -95,7 +97,7 @@ def minima(sets: np.ndarray, bounds: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def _signatures(batches, words: int, hashes: int):
-    for batch, texts in slices(batches):
+    for batch, texts in slices(batches, size=HASH_BYTES):
         sets, bounds = shingle_sets(texts, words)
         sizes = np.diff(bounds)
         filled = sizes > 0
@@ -128,7 +130,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _sets(batches, words: int):
-    for batch, texts in slices(batches):
+    for batch, texts in slices(batches, size=HASH_BYTES):
         sets, bounds = shingle_sets(texts, words)
         yield pa.RecordBatch.from_arrays([batch.column(0), binaries(sets, bounds)], ["doc_id", "set"])
 
@@ -207,6 +209,11 @@ class _Search:
         return by_ids(self.docs.select("doc_id", "text"), ids, "left_semi").mapInArrow(
             partial(_sets, words=self.words), f"doc_id {self.kind}, set binary")
 
+    def shingles_of(self, ids: DataFrame) -> DataFrame:
+        """``doc_id, shingle`` of the documents in ``ids``, by one Python worker a task."""
+        return by_ids(self.docs.select("doc_id", "text"), ids, "left_semi").mapInArrow(
+            partial(_shingles, words=self.words), f"doc_id {self.kind}, shingle long")
+
     def stars(self, members: DataFrame) -> DataFrame:
         """``rep, n, c, nc``: members of buckets and the centres of these.
 
@@ -235,7 +242,7 @@ class _Search:
         several = rows.groupBy("c").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         rows = stage(rows.join(several.where("low <> high").select("c"), "c"), "contested")
         ids = stage(rows.select(F.col("rep").alias("doc_id")).distinct(), "ids")
-        shingles = self.sets_of(ids).mapInArrow(_explode_sets, f"doc_id {self.kind}, shingle long")
+        shingles = self.shingles_of(ids)
         own = shingles.groupBy("shingle").agg(F.count("*").alias("k"), F.min("doc_id").alias("rep")).where("k = 1")
         own = own.groupBy("rep").agg(F.count("*").alias("own"))
         rows = rows.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
@@ -279,12 +286,11 @@ def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
     return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
 
-def _explode_sets(batches):
-    for batch in batches:
-        sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
-        if sets:
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sets))], ["doc_id", "shingle"])
+def _shingles(batches, words: int):
+    for batch, texts in slices(batches, size=HASH_BYTES):
+        sets, bounds = shingle_sets(texts, words)
+        ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(texts)), np.diff(bounds))))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(sets.view(np.int64))], ["doc_id", "shingle"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -106,3 +106,13 @@ def test_components(spark):
             parent[y] = x
     got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert rows(got) == sorted(((i, root(i)) for i in parent), key=repr)
+
+
+def test_contested_shingles_take_one_python_worker(spark):
+    """Two Python maps in one task would hold two workers for each core."""
+    texts = {1: "a b c d e f g", 2: "a b c d e f h", 3: "x", 4: None, 5: "a b c d e a b c d e"}
+    search = near_dup._Search(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), 5, 80)
+    got = search.shingles_of(spark.createDataFrame([(i,) for i in texts], "doc_id bigint"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(i for i, _ in rows(got)) == sorted(i for i, t in texts.items() for _ in shingles(t, 5))
+    assert len({s for _, s in rows(got)}) == len(set().union(*(shingles(t, 5) for t in texts.values())))
