@@ -482,17 +482,20 @@ def document_chunks(spark: SparkSession, sf: str):
 def stream_corpus(spark, sf):
     """Archives to vertical text in three micro-batches, the last under a new checkpoint; lines with their number."""
     profile_, lexicon_ = profile_of_documents(spark, sf), lexicon(spark, sf)
+    suffixes = stage(annotate.suffix_table(lexicon_), "suffixes")
     seen, out = new_path(spark, "seen"), new_path(spark, "vertical")
     table = pages(spark, sf).withColumn("page_id", F.col("page_id").cast("long"))
     folders = [new_path(spark, "archives"), new_path(spark, "archives")]
     checkpoints = [new_path(spark, "checkpoint"), new_path(spark, "checkpoint")]
+    # A range of ids lies in a few partitions of the table: each chunk is dealt to as many archives as the table or the cluster has parts.
+    archives = max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions())
     for n, chunk in enumerate(in_order(table, "page_id")):
         run = int(n == MICRO_BATCHES - 1)
         # Ids of one width, whose order as text is that of the numbers.
         padded = chunk.withColumn("page_id", F.lpad(F.col("page_id").cast("string"), 12, "0"))
-        write_archives(padded, f"{folders[run]}/{n}")
+        write_archives(padded.repartition(archives, "page_id"), f"{folders[run]}/{n}")
         records = warc.read_warc_stream(spark, f"{folders[run]}/*")
-        start_corpus(records, profile_, lexicon_, seen, out, checkpoints[run]).awaitTermination()
+        start_corpus(records, profile_, lexicon_, seen, out, checkpoints[run], suffixes=suffixes).awaitTermination()
     lines = spark.read.option("lineSep", "\n").text(out)
     line = F.regexp_replace("value", r'^(.*<doc id=")page-0*([0-9])', "$1$2")
     return lines.groupBy(line.alias("line")).agg(F.count("*").alias("n"))

@@ -123,17 +123,24 @@ def block_lines(html: Column) -> Column:
 
 def plain(line: Column) -> Column:
     """A block without link marks."""
-    return F.btrim(F.regexp_replace(F.translate(line, OPEN + CLOSE, ""), "  +", " "))
+    rewritten = F.regexp_replace(F.translate(line, OPEN + CLOSE, ""), "  +", " ")
+    marked = F.contains(line, F.lit(OPEN)) | F.contains(line, F.lit(CLOSE)) | F.contains(line, F.lit("  "))
+    return F.btrim(F.when(marked, rewritten).otherwise(line))
 
 
 def word_count(line: Column) -> Column:
     return F.regexp_count(line, F.lit("[^ ]+"))
 
 
+def plain_words(text: Column) -> Column:
+    """Number of words of a :func:`plain` block, which holds single blanks between words."""
+    return F.when(text == "", 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1)
+
+
 def link_words(line: Column) -> Column:
     """Number of words inside links."""
     pieces = F.regexp_extract_all(line, F.lit(f"{OPEN}([^{CLOSE}]*)"), F.lit(1))
-    return word_count(F.array_join(pieces, " "))
+    return F.when(F.contains(line, F.lit(OPEN)), word_count(F.array_join(pieces, " "))).otherwise(0)
 
 
 def is_content(nw, ld, prev_nw, prev_ld, next_nw) -> Column:

@@ -88,7 +88,8 @@ def placed(docs: DataFrame, lexicon: DataFrame, id: str = "doc_id", limit: int =
 
 
 def annotate_tokens(
-    tokens: DataFrame, lexicon: DataFrame, form: str = "tok", limit: int = BROADCAST_BYTES
+    tokens: DataFrame, lexicon: DataFrame, form: str = "tok", limit: int = BROADCAST_BYTES,
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``pos, lemma`` from a lexicon; ``lexicon`` should be a stored table.
 
@@ -97,9 +98,11 @@ def annotate_tokens(
     :func:`placed` stay where they are too: the distinct forms of each chunk are
     looked up and brought back to it.  A form is looked up once for each chunk
     at most, so a very frequent word is no load.  Other tokens are joined on a
-    salted form with the result of one look-up per distinct form.
+    salted form with the result of one look-up per distinct form.  ``suffixes``
+    is the stored :func:`suffix_table` of the lexicon, for callers that annotate
+    many tables; without it the table is made here.
     """
-    suffixes = stage(suffix_table(lexicon), "suffixes")
+    suffixes = stage(suffix_table(lexicon), "suffixes") if suffixes is None else suffixes
     small_endings = fits_broadcast(suffixes, LEXICON_ROW_BYTES, limit)
     if fits_broadcast(lexicon, LEXICON_ROW_BYTES, limit):
         return _resolve(tokens, lexicon, suffixes, form, True, small_endings)
@@ -231,7 +234,7 @@ def vertical_lines(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
 
 def vertical_document(lines: DataFrame, id: str = "doc_id") -> DataFrame:
     """``id, vertical``: the lines of each document, every one ended by a newline."""
-    ordered = F.array_sort(F.collect_list(F.struct("line_pos", "line")))
+    ordered = F.sort_array(F.collect_list(F.struct("line_pos", "line")))
     grouped = lines.groupBy(*chunk_of(lines), id).agg(ordered.alias("lines"))
     return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
 
@@ -244,7 +247,7 @@ def vertical_text(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
     were partitioned by ``id`` or placed in chunks, nothing is shuffled.
     """
     line = F.concat(_line(), F.when(_ends_block(), "\n").otherwise(""))
-    ordered = F.array_sort(F.collect_list(F.struct(*POSITION, line.alias("line"))))
+    ordered = F.sort_array(F.collect_list(F.struct(*POSITION, line.alias("line"))))
     grouped = tokens.groupBy(*chunk_of(tokens), id).agg(ordered.alias("lines"))
     return grouped.select(id, F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("vertical"))
 
@@ -268,7 +271,7 @@ def conll_document(rows: DataFrame, id: str = "doc_id") -> DataFrame:
     body = F.when(
         (F.col("tok_pos") == 0), F.concat(F.lit("\n"), F.col("line"))
     ).otherwise(F.col("line"))
-    ordered = F.array_sort(F.collect_list(F.struct(*POSITION, body.alias("line"))))
+    ordered = F.sort_array(F.collect_list(F.struct(*POSITION, body.alias("line"))))
     grouped = rows.groupBy(*chunk_of(rows), id).agg(ordered.alias("lines"))
     text = F.btrim(F.array_join("lines.line", "\n"), F.lit("\n"))
     return grouped.select(id, F.concat(text, F.lit("\n\n")).alias("conll"))

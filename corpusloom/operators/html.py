@@ -25,12 +25,15 @@ def extract_title(df: DataFrame, html: str = "html") -> DataFrame:
     return df.withColumn("title", hx.title_of(F.col(html)))
 
 
-def _features(line: Column) -> Column:
-    words = hx.word_count(F.translate(line, hx.OPEN + hx.CLOSE, ""))
+def _parts(line: Column) -> Column:
+    return F.struct(hx.plain(line).alias("txt"), hx.link_words(line).alias("linked"))
+
+
+def _features(parts: Column) -> Column:
+    """Text, words and link density of a block, from its text made once."""
+    words = hx.plain_words(parts["txt"])
     return F.struct(
-        hx.plain(line).alias("txt"),
-        words.alias("nw"),
-        (hx.link_words(line).cast("double") / words).alias("ld"),
+        parts["txt"].alias("txt"), words.alias("nw"), (parts["linked"].cast("double") / words).alias("ld"),
     )
 
 
@@ -39,7 +42,8 @@ def html_blocks(df: DataFrame, id: str = "page_id", html: str = "html") -> DataF
     lines = df.select(id, hx.block_lines(F.col(html)).alias("lines"))
     rows = lines.select(id, F.posexplode_outer("lines").alias("pos", "line"))
     rows = rows.where(F.col("line").isNotNull())
-    return rows.select(id, "pos", _features(F.col("line")).alias("f")).select(id, "pos", "f.*")
+    rows = rows.select(id, "pos", _parts(F.col("line")).alias("parts"))
+    return rows.select(id, "pos", _features(F.col("parts")).alias("f")).select(id, "pos", "f.*")
 
 
 def block_classify(blocks: DataFrame, id: str = "page_id") -> DataFrame:
@@ -63,7 +67,7 @@ def article_text(
     Columns named in ``keep`` are carried along.
     """
     lines = df.select(id, *keep, hx.block_lines(F.col(html)).alias("lines"))
-    blocks = lines.select(id, *keep, F.transform("lines", _features).alias("b"))
+    blocks = lines.select(id, *keep, F.transform(F.transform("lines", _parts), _features).alias("b"))
 
     def content(block: Column, pos: Column) -> Column:
         before, after = F.get("b", pos - 1), F.get("b", pos + 1)

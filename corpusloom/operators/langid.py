@@ -1,15 +1,22 @@
 """Language identification with character 3-grams.
 
-Training is one aggregation.  Scoring joins every gram of the whole text with
-the profile and sums: grams never leave their task when the profile is small
-enough to broadcast, because the sum per document is combined before the only
-exchange; with a larger profile they are counted per document first.  Log-probabilities are kept in millionths as whole numbers, so sums
-do not depend on the order of addition.
+Tasks count the grams of the texts of a batch with numpy; every gram of the
+whole text counts.  Training is then one aggregation of distinct grams.  Scoring
+joins the counts of each document with the profile and sums: grams never leave
+their task when the profile is small enough to broadcast, because the sum per
+document is combined before the only exchange.  Log-probabilities are kept in
+millionths as whole numbers, so sums do not depend on the order of addition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from corpusloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, salted_lookup
 from corpusloom.staging import stage
@@ -20,6 +27,8 @@ NOT_LETTERS = r"[^\p{L}\p{M}]+"
 # substrings by position would be quadratic.
 WINDOW = r"(?=([\p{L}\p{M} ]{3}))"
 MICRO = 1_000_000
+#: Characters counted at a time in a task.
+PIECE = 2_000_000
 #: Languages up to which a profile has one column for each.
 WIDE_LANGUAGES = 64
 
@@ -35,20 +44,79 @@ def grams(text: Column) -> Column:
     return F.regexp_extract_all(clean(text), F.lit(WINDOW), F.lit(1))
 
 
+def _windows(cleaned: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and 3-grams, as numbers, of cleaned texts set one after the other, piece by piece.
+
+    A cleaned text begins and ends with a blank and holds no two blanks side by
+    side, so a window with two belongs to two texts and is left out.
+    """
+    for start in range(0, len(cleaned) - 2, PIECE):
+        points = np.frombuffer(cleaned[start:start + PIECE + 2].encode("utf-32-le"), "<u4").astype(np.int64)
+        a, b, c = points[:-2], points[1:-1], points[2:]
+        inside = (b != 32) | ((a != 32) & (c != 32))
+        yield start + np.flatnonzero(inside), ((a << 42) | (b << 21) | c)[inside]
+
+
+def _spelled(codes: np.ndarray) -> pa.Array:
+    points = np.stack([codes >> 42, (codes >> 21) & 0x1FFFFF, codes & 0x1FFFFF], 1)
+    flat = points.astype("<u4").tobytes().decode("utf-32-le")
+    return pa.array([flat[i:i + 3] for i in range(0, len(flat), 3)], pa.string())
+
+
+def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang, gram, n`` of batches of ``lang, cleaned``; a gram may come again."""
+    for batch in batches:
+        for lang in pc.unique(batch["lang"]):
+            of_lang = batch.filter(pc.equal(batch["lang"], lang))
+            for _, codes in _windows("".join(of_lang["cleaned"].to_pylist())):
+                found, times = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(found)), _spelled(found), pa.array(times, pa.int64())], ["lang", "gram", "n"])
+
+
+def _count_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Id, gram and times of batches of id and cleaned text; a text without grams gives a null one."""
+    for batch in batches:
+        names, ids, texts = [batch.schema.names[0], "gram", "times"], batch[0], batch[1].to_pylist()
+        sizes = np.array([len(text) for text in texts], np.int64)
+        bare = np.flatnonzero(sizes < 3)
+        yield pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(bare)), pa.nulls(len(bare), pa.string()), pa.array(np.zeros(len(bare), np.int64))], names)
+        ends = np.cumsum(sizes)
+        for places, codes in _windows("".join(texts)):
+            found, at = np.unique(codes, return_inverse=True)
+            pairs, times = np.unique(np.searchsorted(ends, places, "right") * len(found) + at, return_counts=True)
+            doc, gram = np.divmod(pairs, max(1, len(found)))
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(doc)), _spelled(found).take(pa.array(gram)), pa.array(times, pa.int64())], names)
+
+
+def document_grams(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, gram, times``: the 3-grams of every document, counted where it lies.
+
+    A gram of a very long document may come in several rows, to be summed; a
+    text without letters has one row without a gram.
+    """
+    rows = df.select(F.col(id), clean(F.col(text)).alias("cleaned"))
+    kind = StructType([rows.schema[id], StructField("gram", StringType()), StructField("times", LongType())])
+    return rows.mapInArrow(_count_by_document, kind)
+
+
+def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang, gram, n``: how often each language shows each 3-gram; rows without a language are ignored."""
+    rows = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), clean(F.col(text)).alias("cleaned"))
+    kind = StructType([rows.schema["lang"], StructField("gram", StringType()), StructField("n", LongType())])
+    return rows.mapInArrow(_count_by_language, kind).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
 def langid_fit(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, gram, logp``: add-one smoothed log-probabilities.
 
     A language's row with the empty gram holds the value of a gram it never
     showed.  Rows without a language are ignored.
     """
-    found = df.where(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.explode_outer(grams(F.col(text))).alias("gram")
-    )
     # Read four times below, and no larger than the vocabulary: stored once.
-    counts = stage(
-        found.where(F.col("gram").isNotNull()).groupBy("lang", "gram").agg(F.count("*").alias("n")),
-        "gram-counts",
-    )
+    counts = stage(gram_counts(df, text, lang), "gram-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = counts.select(F.count_distinct("gram").alias("v"))
     sizes = totals.withColumn("size", F.col("total") + vocabulary.scalar())
@@ -88,16 +156,18 @@ def langid_predict(
     if profile.where(F.col("gram") == "").limit(WIDE_LANGUAGES + 1).count() > WIDE_LANGUAGES:
         return _predict_long(df, profile, id, text)
     langs, unseen, wide = _wide(profile)
-    found = df.select(id, F.explode_outer(grams(F.col(text))).alias("gram"))
+    found = document_grams(df, id, text)
     unknown = [F.coalesce(f"l{i}", F.lit(unseen[lang])) for i, lang in enumerate(langs)]
     if fits_broadcast(wide, 64 + 8 * len(langs), limit):
         scored = found.join(F.broadcast(wide), "gram", "left")
-        n, values = F.count("gram"), unknown
+        # A text without grams adds one unknown gram to other texts of its id.
+        weight = F.greatest("times", F.lit(1))
     else:
-        found = found.groupBy(id, "gram").agg(F.count("gram").alias("times"))
+        found = found.groupBy(id, "gram").agg(F.sum("times").alias("times"))
         scored = salted_lookup(found, wide, ["gram"])
-        n, values = F.sum("times"), [F.col("times") * value for value in unknown]
-    sums = scored.groupBy(id).agg(n.alias("n"), *[F.sum(v).alias(f"l{i}") for i, v in enumerate(values)])
+        weight = F.col("times")
+    values = [weight * value for value in unknown]
+    sums = scored.groupBy(id).agg(F.sum("times").alias("n"), *[F.sum(v).alias(f"l{i}") for i, v in enumerate(values)])
     best = F.array_max(F.array(*[
         F.struct(F.col(f"l{i}").alias("micro"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang"))
         for i, lang in enumerate(langs)
@@ -118,8 +188,7 @@ def _predict_long(df: DataFrame, profile: DataFrame, id: str, text: str) -> Data
     micro = profile.select("lang", "gram", F.round(F.col("logp") * MICRO).cast("long").alias("micro"))
     base = micro.where(F.col("gram") == "").select("lang", F.col("micro").alias("base"))
     gain = micro.where(F.col("gram") != "").join(base, "lang").select("gram", "lang", (F.col("micro") - F.col("base")).alias("gain"), "base")
-    found = df.select(id, F.explode_outer(grams(F.col(text))).alias("gram"))
-    counts = found.groupBy(id, "gram").agg(F.count("gram").alias("times"))
+    counts = document_grams(df, id, text).groupBy(id, "gram").agg(F.sum("times").alias("times"))
     sizes = counts.groupBy(id).agg(F.sum("times").alias("n"))
     per_gram = gain.groupBy("gram").agg(F.collect_list(F.struct("lang", "base", "gain")).alias("known"))
     joined = salted_lookup(counts.where("gram is not null"), per_gram, ["gram"])

@@ -53,7 +53,9 @@ def clean_corpus(
     return keep_paragraphs(kept, firsts)
 
 
-def annotated(docs: DataFrame, lexicon: DataFrame, together: bool = False) -> DataFrame:
+def annotated(
+    docs: DataFrame, lexicon: DataFrame, together: bool = False, suffixes: DataFrame | None = None
+) -> DataFrame:
     """Marked-up tokens with ``pos`` and ``lemma``.
 
     Documents are placed in chunks before they are cut into tokens when the
@@ -65,12 +67,12 @@ def annotated(docs: DataFrame, lexicon: DataFrame, together: bool = False) -> Da
     placed = annotate.placed(docs, lexicon)
     if together and CHUNK not in placed.columns:
         placed = docs.repartition("doc_id")
-    return annotate.annotate_tokens(annotate.token_markup(placed), lexicon)
+    return annotate.annotate_tokens(annotate.token_markup(placed), lexicon, suffixes=suffixes)
 
 
-def vertical_corpus(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
+def vertical_corpus(docs: DataFrame, lexicon: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """``doc_id, vertical``; a document left with neither title nor text has none."""
-    return annotate.vertical_text(annotated(docs, lexicon, together=True))
+    return annotate.vertical_text(annotated(docs, lexicon, together=True, suffixes=suffixes))
 
 
 def conll_corpus(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
